@@ -89,6 +89,13 @@ def forget(df: DataFrame) -> None:
             p.getFileSystem(sc._jsc.hadoopConfiguration()).delete(p, True)
 
 
+def number(docs: DataFrame) -> tuple[DataFrame, bool]:
+    """Adds seq, a different number for each row in the order of doc_id; whether it is doc_id itself, as it is where no id repeats or is null."""
+    if dict(docs.dtypes)["doc_id"] in ("bigint", "int", "smallint", "tinyint") and docs.groupBy("doc_id").agg(F.count("*").alias("c")).where("c > 1 OR doc_id IS NULL").isEmpty():
+        return docs.withColumn("seq", F.col("doc_id").cast("long")), True
+    return cut(docs.orderBy(F.asc_nulls_first("doc_id"), "text").withColumn("seq", F.monotonically_increasing_id())), False
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 

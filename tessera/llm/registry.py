@@ -2,16 +2,18 @@
 
 from __future__ import annotations
 
-from tessera.llm import decontaminate, langid, licenses, mixing, quality, rollup, toxicity, urlgraph
+from tessera.llm import decontaminate, langid, licenses, mixing, ngramjoin, quality, rollup, suffixdedup, toxicity, urlgraph
 
 
 def queries():
     return {
         "op1_quality_rules": quality.query,
+        "op2_suffix_dedup": suffixdedup.query,
         "op3_language_id": langid.query,
         "op4_decontamination": decontaminate.query,
         "op5_url_filters": urlgraph.query,
         "op6_toxicity": toxicity.query,
+        "op7_ngram_jaccard_join": ngramjoin.query,
         "op8_token_counts": rollup.query,
         "op9_source_mixing": mixing.query,
         "op10_license_scan": licenses.query,
