@@ -10,8 +10,8 @@ n. So, whatever global order the tokens are put in, they share one of the first
 3. Three orders, all by rising number of holders, with ties (and near ties) broken by three different hashes. Pairs must share a
    prefix token in each of them, and sizes within t; then tokens are counted.
 4. Pairs are not listed inside large groups: of each prefix token, all holders are first compared with two of them. What
-   that links becomes one component, and then all pairs of holders in different components are compared. Every link
-   between components is found, so the components are exact; links inside one are not all listed.
+   that links becomes one component. Then holders of different components are compared, block by block: only pairs of blocks
+   are listed, and inside one a pair that is joined by links found there is passed over. Components are exact.
 5. Components by alternating large and small stars, with tables in the shared folder between rounds.
 
 Defined results: null or empty text, or text without words, has an empty set and is its own component; fewer than SIZE words are one
@@ -33,8 +33,9 @@ from pyspark.sql import functions as F
 from tessera.llm.common import BLOCK, cut, documents, forget, mix, number, pieces, shingle_hashes, word_hashes, word_spans
 
 SIZE, THRESHOLD = 5, Fraction(3, 4)
-BUCKET_TOKENS = 2_000_000
+BUCKET_TOKENS = 1_000_000
 PART_DOCS = 40_000
+BLOCK_DOCS = 48
 
 
 def token_sets(column, limit: int = BLOCK):
@@ -60,7 +61,7 @@ class _Dealer:
     names = ["bucket", "docs", "sizes", "tokens", "owners"]
     fields = "bucket int, docs binary, sizes binary, tokens binary, owners binary"
 
-    def __init__(self, buckets: int, most: int = 1_000_000):
+    def __init__(self, buckets: int, most: int = 600_000):
         self.buckets, self.most = buckets, most
         self.reset()
 
@@ -203,14 +204,83 @@ def link_components(prefixes: DataFrame, sets: DataFrame) -> DataFrame:
     stars = hubs.join(held, "token").where("hub <> seq").select(F.least("hub", "seq").alias("x"), F.greatest("hub", "seq").alias("y")).distinct()
     first = cut(_verified(stars, prefixes, sets))
     label = components(first)
+    second = _across(held, hubs, label, prefixes, sets)
+    return components(label.where("node <> component").select(F.col("node").alias("x"), F.col("component").alias("y")).unionAll(second))
+
+
+def _across(held: DataFrame, hubs: DataFrame, label: DataFrame, prefixes: DataFrame, sets: DataFrame) -> DataFrame:
+    """x, y: links between components, of each two components that have any in a pair of blocks at least one.
+
+    Documents whose prefix tokens have holders in several components are put into blocks of about BLOCK_DOCS that share a component
+    (or, of small components, a hub). Two blocks meet if they hold a common token; inside a meeting the filters and the count run
+    over the pairs of different components.
+    """
     named = held.join(label.withColumnRenamed("node", "seq"), "seq", "left").withColumn("c", F.coalesce("component", "seq")).select("token", "seq", "c")
     mixed = named.groupBy("token").agg(F.min("c").alias("a"), F.max("c").alias("b")).where("a <> b").select("token")
     named = cut(named.join(mixed, "token"))
-    left, right = named.select("token", F.col("seq").alias("x"), F.col("c").alias("cx")), named.select("token", F.col("seq").alias("y"), F.col("c").alias("cy"))
-    rest = left.join(right, "token").where("cx < cy").select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y")).distinct()
-    second = _verified(rest, prefixes, sets)
-    # components of the first links, and the links between them
-    return components(label.where("node <> component").select(F.col("node").alias("x"), F.col("component").alias("y")).unionAll(second))
+    near = hubs.groupBy("token").agg(F.min("hub").alias("hub"))
+    docs = named.join(near, "token").groupBy("seq", "c").agg(F.min("hub").alias("hub"))
+    sizes = docs.groupBy("c").agg(F.count("*").alias("of_c"))
+    docs = docs.join(sizes, "c").withColumn("kind", F.when(F.col("of_c") >= BLOCK_DOCS, F.col("c")).otherwise(-1 - F.col("hub")))
+    count = docs.groupBy("kind").agg(F.count("*").alias("of_kind"))
+    docs = docs.join(count, "kind").select("seq", "c", "kind", F.pmod(F.xxhash64("seq"), F.ceil(F.col("of_kind") / BLOCK_DOCS)).alias("r"))
+    docs = cut(docs.withColumn("block", F.struct("kind", "r")).select("seq", "c", "block"))
+    packed = docs.join(prefixes, "seq").join(sets.select("seq", "tokens"), "seq").groupBy("block").agg(F.collect_list(F.struct("seq", "c", "n", "p0", "p1", "p2", "tokens")).alias("docs"))
+    # a block of one component has it here, others have null
+    pure = docs.groupBy("block").agg(F.when(F.min("c") == F.max("c"), F.min("c")).alias("pure"))
+    at = named.join(docs.select("seq", "block"), "seq").select("token", "block").distinct().join(pure, "block")
+    left, right = at.select("token", F.col("block").alias("a"), F.col("pure").alias("pa")), at.select("token", F.col("block").alias("b"), F.col("pure").alias("pb"))
+    meet = left.join(right, "token").where("a <= b AND NOT coalesce(pa = pb, false)").select("a", "b").distinct()
+    t = THRESHOLD
+
+    def links(batches):
+        for batch in batches:
+            xs, ys = [], []
+            for k in range(batch.num_rows):
+                for x, y in _meeting(batch.column("da")[k].as_py(), batch.column("db")[k].as_py(), t):
+                    xs.append(x), ys.append(y)
+            yield pa.RecordBatch.from_arrays([pa.array(xs, pa.int64()), pa.array(ys, pa.int64())], ["x", "y"])
+
+    both = meet.join(packed.select(F.col("block").alias("a"), F.col("docs").alias("da")), "a").join(packed.select(F.col("block").alias("b"), F.col("docs").alias("db")), "b")
+    return both.select("da", "db").mapInArrow(links, "x long, y long")
+
+
+def _meeting(left: list[dict], right: list[dict], t: Fraction):
+    """Links between documents of different components that the links before do not join already."""
+    n = [np.array([d["n"] for d in side]) for side in (left, right)]
+    c = [np.array([d["c"] for d in side]) for side in (left, right)]
+    ok = c[0][:, None] != c[1][None, :]
+    ok &= t.denominator * np.minimum(n[0][:, None], n[1][None, :]) >= t.numerator * np.maximum(n[0][:, None], n[1][None, :])
+    for p in ("p0", "p1", "p2"):
+        ok &= _sharing([d[p] for d in left], [d[p] for d in right])
+    root: dict[int, int] = {}
+
+    def find(x: int) -> int:
+        while root.get(x, x) != x:
+            x = root[x]
+        return x
+
+    sets = [[np.frombuffer(d["tokens"], np.uint64) for d in side] for side in (left, right)]
+    for i, j in zip(*np.nonzero(ok), strict=True):
+        a, b = find(int(c[0][i])), find(int(c[1][j]))
+        if a != b:
+            s, r = sets[0][i], sets[1][j]
+            both = len(np.intersect1d(s, r, assume_unique=True))
+            if t.denominator * both >= t.numerator * (len(s) + len(r) - both):
+                root[max(a, b)] = min(a, b)
+                yield left[i]["seq"], right[j]["seq"]
+
+
+def _sharing(left: list[list[int]], right: list[list[int]]) -> np.ndarray:
+    """Which lists have a common value."""
+    out = np.zeros((len(left), len(right)), bool)
+    (x, ox), (y, oy) = ((np.array([v for s in side for v in s], np.int64), np.repeat(np.arange(len(side)), [len(s) for s in side])) for side in (left, right))
+    order = np.argsort(y, kind="stable")
+    y, oy = y[order], oy[order]
+    lo, hi = np.searchsorted(y, x, "left"), np.searchsorted(y, x, "right")
+    for o, i, j in zip(ox[hi > lo], lo[hi > lo], hi[hi > lo], strict=True):
+        out[o, oy[i:j]] = True
+    return out
 
 
 # -- the operator -------------------------------------------------------------------------------------
