@@ -25,6 +25,9 @@ BYTE_LOWER[65:91] = BYTE[97:123]
 BASE = U(0x9E3779B97F4A7C15)
 BASE_INV = U(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 BLOCK = 1 << 20
+#: Rows that go to a Python worker at once while a table is made.
+BATCH_ROWS = 1000
+_BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
 _MIX = (U(0xBF58476D1CE4E5B9), U(0x94D049BB133111EB), U(0xFF51AFD7ED558CCD), U(0xC4CEB9FE1A85EC53))
 #: Space and \t \n \v \f \r part words.
 IS_SPACE = np.zeros(256, dtype=bool)
@@ -73,11 +76,17 @@ def shared_dir(spark: SparkSession) -> str:
     return d
 
 
-def cut(df: DataFrame, *partition_by: str) -> DataFrame:
+def cut(df: DataFrame) -> DataFrame:
     """Write df as a table in the shared folder and read it back: lineage ends there and lost executors cost nothing before it."""
-    path = f"{shared_dir(df.sparkSession)}/tessera-{uuid.uuid4().hex}"
-    df.write.partitionBy(*partition_by).parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    spark = df.sparkSession
+    path = f"{shared_dir(spark)}/tessera-{uuid.uuid4().hex}"
+    before = spark.conf.get(_BATCH)
+    spark.conf.set(_BATCH, min(BATCH_ROWS, int(before) if int(before) > 0 else BATCH_ROWS))  # whole texts: fewer at a time
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(_BATCH, before)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def forget(df: DataFrame) -> None:

@@ -36,7 +36,8 @@ from tessera.llm.common import BYTE, as_buffer, cut, documents, forget, mix, num
 
 LENGTH, GRAM = 100, 32
 PIECE = 1 << 19
-BUCKET_ANCHORS = 400_000
+BUCKET_ANCHORS = 250_000
+FLUSH_ANCHORS = 250_000
 _PLACE = np.uint64((1 << 20) - 1)
 
 
@@ -152,41 +153,62 @@ def _runs(key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return at, np.append(at[1:], len(key))[: len(at)]
 
 
+def _by_part(table: dict[str, np.ndarray], kinds, parts: int):
+    """A row of packed columns for each part: a slice of the documents by a hash."""
+    part = (mix(table["doc"].astype(np.uint64)) % np.uint64(parts)).astype(np.int64)
+    order = np.argsort(part, kind="stable")
+    part, cols = part[order], {k: table[k][order] for k, _ in kinds}
+    for i, j in zip(*_runs(part), strict=True):
+        yield (int(part[i]), *(_blob(cols[k][i:j], t) for k, t in kinds))
+
+
+def _rows(rows: list[tuple], kinds) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int32()), *(pa.array([r[1 + k] for r in rows], pa.binary()) for k in range(len(kinds)))], ["bucket", *(k for k, _ in kinds)])
+
+
 def _batch_anchors(batches, buckets: int):
     """Step 1 on Arrow batches of (seq, text): packed rows; bucket -1 holds repeats that are known already."""
-    for b in batches:
-        seq = b.column("seq").to_numpy()
-        got: dict[str, list] = {k: [np.zeros(0, t)] for k, t in _ANCHOR}
-        for buf, offs, row, place in text_pieces(b.column("text")):
-            part, begin, end, at, gram, context = anchors(buf, offs, Hashes(buf))
-            for k, v in (("doc", seq[row[part]]), ("begin", begin - offs[part] + place[part]), ("windows", end - begin + 1), ("at", at - begin), ("gram", gram), ("context", context)):
-                got[k].append(v)
-        table = {k: np.concatenate(v) for k, v in got.items()}
+    got: dict[str, list] = {k: [] for k, _ in _ANCHOR}
+    n = 0
+
+    def flush():
+        table = {k: np.concatenate([np.zeros(0, t), *got[k]]) for k, t in _ANCHOR}
+        for v in got.values():
+            v.clear()
         order = np.lexsort((table["begin"], table["doc"], table["context"]))
         first = np.zeros(len(order), bool)
         first[order[_first_of_equal(table["context"][order])]] = True
         rows = list(_deal({k: v[first] for k, v in table.items()}, _ANCHOR, buckets))
         if not first.all():
             rows.append((-1, *(_blob(table[k][~first], t) for k, t in _ANCHOR)))
-        yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int32()), *(pa.array([r[1 + k] for r in rows], pa.binary()) for k in range(len(_ANCHOR)))], ["bucket", *(k for k, _ in _ANCHOR)])
+        return _rows(rows, _ANCHOR)
 
+    for b in batches:
+        seq = b.column("seq").to_numpy()
+        for buf, offs, row, place in text_pieces(b.column("text")):
+            part, begin, end, at, gram, context = anchors(buf, offs, Hashes(buf))
+            for (k, t), v in zip(_ANCHOR, (seq[row[part]], begin - offs[part] + place[part], end - begin + 1, at - begin, gram, context), strict=True):
+                got[k].append(v.astype(t))
+            n += len(part)
+            if n >= FLUSH_ANCHORS:
+                yield flush()
+                n = 0
+    yield flush()
 
-def _repeat_rows(doc: np.ndarray, begin: np.ndarray, windows: np.ndarray, left: bool) -> pd.DataFrame:
-    """A row with packed lists for each document."""
-    order = np.lexsort((begin, doc))
-    doc, begin, windows = doc[order], begin[order], windows[order]
-    at, n = _runs(doc)
-    return pd.DataFrame({"seq": doc[at], "open": np.full(len(at), left), "begin": [_blob(begin[i:j], "u4") for i, j in zip(at, n, strict=True)], "windows": [_blob(windows[i:j], "u1") for i, j in zip(at, n, strict=True)]})
 
+_SPAN = (("doc", "i8"), ("begin", "u4"), ("windows", "u1"))
+_REPEAT = "open boolean, part int, doc binary, begin binary, windows binary"
 
-_REPEAT = "seq long, open boolean, begin binary, windows binary"
 
+def _repeat_rows(parts: int, *tables: tuple[bool, dict[str, np.ndarray]]) -> pd.DataFrame:
+    return pd.DataFrame([(left, *r) for left, t in tables for r in _by_part(t, _SPAN, parts)], columns=["open", "part", "doc", "begin", "windows"])
 
-def _sort_anchor_bucket(pdf: pd.DataFrame) -> pd.DataFrame:
+
+def _sort_anchor_bucket(pdf: pd.DataFrame, parts: int) -> pd.DataFrame:
     """Step 2: repeats (open false), and what is left for step 3 (open true)."""
     t = _joined(pdf, _ANCHOR)
     if pdf["bucket"].iloc[0] < 0:
-        return _repeat_rows(t["doc"], t["begin"], t["windows"], False)
+        return _repeat_rows(parts, (False, t))
     order = np.lexsort((t["begin"], t["doc"], t["context"], t["gram"]))
     t = {k: v[order] for k, v in t.items()}
     new_gram = _first_of_equal(t["gram"])
@@ -194,14 +216,23 @@ def _sort_anchor_bucket(pdf: pd.DataFrame) -> pd.DataFrame:
     group = np.cumsum(new_gram) - 1
     contexts = np.bincount(group, weights=new) if len(group) else np.zeros(0)
     rest = new & (contexts[group] > 1)
-    return pd.concat([_repeat_rows(t["doc"][m], t["begin"][m], t["windows"][m], o) for m, o in ((~new, False), (rest, True))])
+    return _repeat_rows(parts, *((o, {k: t[k][m] for k, _ in _SPAN}) for m, o in ((~new, False), (rest, True))))
+
+
+def _of_documents(pdf: pd.DataFrame) -> pd.DataFrame:
+    """The spans of a part: a row with packed lists for each document."""
+    t = _joined(pdf, _SPAN)
+    order = np.lexsort((t["begin"], t["doc"]))
+    doc, begin, windows = (t[k][order] for k, _ in _SPAN)
+    at, n = _runs(doc)
+    return pd.DataFrame({"seq": doc[at], "begin": [_blob(begin[i:j], "u4") for i, j in zip(at, n, strict=True)], "windows": [_blob(windows[i:j], "u1") for i, j in zip(at, n, strict=True)]})
 
 
 def _batch_windows(batches, buckets: int):
     """Step 3 on Arrow batches of (seq, text, begin, windows): names of the windows that are left."""
     for b in batches:
         seq = b.column("seq").to_numpy()
-        lists = [(np.frombuffer(b"".join(x.as_py()), "u4").astype(np.int64), np.frombuffer(b"".join(y.as_py()), "u1").astype(np.int64)) for x, y in zip(b.column("begin"), b.column("windows"), strict=True)]
+        lists = [(np.frombuffer(x.as_py(), "u4").astype(np.int64), np.frombuffer(y.as_py(), "u1").astype(np.int64)) for x, y in zip(b.column("begin"), b.column("windows"), strict=True)]
         got: dict[str, list] = {k: [np.zeros(0, t)] for k, t in _WINDOW}
         for buf, offs, row, place in text_pieces(b.column("text")):
             h = Hashes(buf)
@@ -214,16 +245,14 @@ def _batch_windows(batches, buckets: int):
                 w = np.repeat(begin, n) + np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n)
                 at = w - s + offs[k]
                 got["doc"].append(np.full(len(w), seq[r])), got["begin"].append(w), got["gram"].append(h.of(at, at + LENGTH))
-        rows = list(_deal({k: np.concatenate(v) for k, v in got.items()}, _WINDOW, buckets))
-        yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int32()), *(pa.array([r[1 + k] for r in rows], pa.binary()) for k in range(len(_WINDOW)))], ["bucket", *(k for k, _ in _WINDOW)])
+        yield _rows(list(_deal({k: np.concatenate(v) for k, v in got.items()}, _WINDOW, buckets)), _WINDOW)
 
 
-def _sort_window_bucket(pdf: pd.DataFrame) -> pd.DataFrame:
+def _sort_window_bucket(pdf: pd.DataFrame, parts: int) -> pd.DataFrame:
     t = _joined(pdf, _WINDOW)
     order = np.lexsort((t["begin"], t["doc"], t["gram"]))
-    again = ~_first_of_equal(t["gram"][order])
-    doc, begin = t["doc"][order][again], t["begin"][order][again]
-    return _repeat_rows(doc, begin, np.ones(len(doc), np.uint8), False)
+    again = order[~_first_of_equal(t["gram"][order])]
+    return _repeat_rows(parts, (False, {"doc": t["doc"][again], "begin": t["begin"][again], "windows": np.ones(len(again), np.uint8)}))
 
 
 def merge_spans(begin: np.ndarray, windows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -238,7 +267,7 @@ def merge_spans(begin: np.ndarray, windows: np.ndarray) -> tuple[np.ndarray, np.
 
 
 def repeats(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(docs with a column seq in the order of documents, the repeats: seq, begin, windows as lists of packed numbers).
+    """(docs with a column seq in the order of documents, the repeats: seq, begin, windows as packed numbers).
 
     docs: doc_id, text, and what else is to be kept. seq is doc_id where no id repeats.
     """
@@ -250,14 +279,15 @@ def repeats(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     dealt = numbered.select("seq", "text").mapInArrow(lambda it: _batch_anchors(it, buckets), fields)
     # repeats known already are many rows of one bucket: they need no sorting and go by document at once
     salted = dealt.withColumn("salt", F.when(F.col("bucket") < 0, F.monotonically_increasing_id()).otherwise(F.lit(0)))
-    found = cut(salted.repartition(max(buckets, int(spark.conf.get("spark.sql.shuffle.partitions"))), "bucket", "salt").groupBy("bucket", "salt").applyInPandas(lambda pdf: _sort_anchor_bucket(pdf), _REPEAT))
-    lists = lambda d: d.groupBy("seq").agg(F.collect_list("begin").alias("begin"), F.collect_list("windows").alias("windows"))
-    rest = numbered.select("seq", "text").join(lists(found.where("open").select("seq", "begin", "windows")), "seq")
+    sort = lambda pdf: _sort_anchor_bucket(pdf, buckets)
+    found = cut(salted.groupBy("bucket", "salt").applyInPandas(lambda _, pdf: sort(pdf), _REPEAT))
+    lists = lambda d: d.select("part", *(k for k, _ in _SPAN)).groupBy("part").applyInPandas(_of_documents, "seq long, begin binary, windows binary")
+    rest = numbered.select("seq", "text").join(lists(found.where("open")), "seq")
     windows = rest.mapInArrow(lambda it: _batch_windows(it, buckets), "bucket int, " + ", ".join(f"{k} binary" for k, _ in _WINDOW))
-    more = windows.groupBy("bucket").applyInPandas(_sort_window_bucket, _REPEAT)
-    both = cut(found.where("NOT open").unionAll(more).select("seq", "begin", "windows"))
+    more = windows.groupBy("bucket").applyInPandas(lambda pdf: _sort_window_bucket(pdf, buckets), _REPEAT)
+    both = cut(lists(found.where("NOT open").unionAll(cut(more))))
     forget(found)
-    return numbered, lists(both)
+    return numbered, both
 
 
 def remove_repeats(docs: DataFrame, keep: list[str], make) -> DataFrame:
@@ -272,8 +302,8 @@ def remove_repeats(docs: DataFrame, keep: list[str], make) -> DataFrame:
             data, offs = as_buffer(b.column("text"))
             rows = []
             for k, (x, y) in enumerate(zip(b.column("begin"), b.column("windows"), strict=True)):
-                begin = np.frombuffer(b"".join(x.as_py() or []), "u4").astype(np.int64)
-                s, e = merge_spans(begin, np.frombuffer(b"".join(y.as_py() or []), "u1").astype(np.int64))
+                begin = np.frombuffer(x.as_py() or b"", "u4").astype(np.int64)
+                s, e = merge_spans(begin, np.frombuffer(y.as_py() or b"", "u1").astype(np.int64))
                 rows.append(make(data[offs[k] : offs[k + 1]], s, e))
             yield pa.RecordBatch.from_arrays([*(b.column(c) for c in keep), *(pa.array([r[i] for r in rows], t) for i, t in enumerate(make.types))], [*keep, *names])
 
