@@ -35,7 +35,7 @@ from tessera.llm.common import BLOCK, cut, documents, forget, mix, number, piece
 SIZE, THRESHOLD = 5, Fraction(3, 4)
 BUCKET_TOKENS = 1_000_000
 PART_DOCS = 40_000
-BLOCK_DOCS = 48
+BLOCK_DOCS = 128
 
 
 def token_sets(column, limit: int = BLOCK):
