@@ -164,7 +164,7 @@ def mix(docs: DataFrame, seed: int = 7, block_words: int = BLOCK_WORDS) -> tuple
     """(sizes of the rows, targets of the sources, the mix: shard, rank, slot, block, row, begin, words)."""
     size = sizes(docs)
     target = cut(targets(size))
-    out = slots(docs.sparkSession, target, block_words, seed=seed).join(block_pieces(size, target, block_words), ["rank", "block"])
+    out = slots(docs.sparkSession, target, block_words, seed=seed).join(block_pieces(size, target, block_words).hint("merge"), ["rank", "block"])  # both grow with the input
     return size, target, out
 
 
@@ -172,7 +172,7 @@ def digest(docs: DataFrame) -> DataFrame:
     size, target, out = mix(docs)
     taken = out.groupBy("row").agg(F.sum("words").alias("taken"))
     t = target.select(F.col("source").alias("_s"), "source_size", "target")
-    joined = size.join(t, F.col("source").eqNullSafe(F.col("_s")), "left").join(taken, "row", "left")
+    joined = size.join(t, F.col("source").eqNullSafe(F.col("_s")), "left").join(taken.hint("merge"), "row", "left")
     return joined.select("doc_id", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).alias("taken"))
 
 
