@@ -6,6 +6,7 @@ NumPy operations and no Python object is made for a word.
 
 from __future__ import annotations
 
+import ctypes
 import hashlib
 import tempfile
 import uuid
@@ -24,8 +25,8 @@ BYTE_LOWER = BYTE.copy()
 BYTE_LOWER[65:91] = BYTE[97:123]
 BASE = U(0x9E3779B97F4A7C15)
 BASE_INV = U(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
-BLOCK = 1 << 20
-#: Rows that go to a Python worker at once while a table is made.
+BLOCK = 1 << 19
+#: Rows that go to a Python worker at once at most.
 BATCH_ROWS = 1000
 _BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
 _MIX = (U(0xBF58476D1CE4E5B9), U(0x94D049BB133111EB), U(0xFF51AFD7ED558CCD), U(0xC4CEB9FE1A85EC53))
@@ -76,16 +77,29 @@ def shared_dir(spark: SparkSession) -> str:
     return d
 
 
+def small_batches(spark: SparkSession) -> None:
+    """From now on the session hands whole texts to Python workers a thousand at a time, not ten thousand."""
+    rows = int(spark.conf.get(_BATCH))
+    if rows <= 0 or rows > BATCH_ROWS:
+        spark.conf.set(_BATCH, BATCH_ROWS)
+
+
+_libc = ctypes.CDLL(None)
+
+
+def trim() -> None:
+    """Give freed memory back: Python workers live on from stage to stage beside the executor's heap."""
+    pa.default_memory_pool().release_unused()
+    if hasattr(_libc, "malloc_trim"):
+        _libc.malloc_trim(0)
+
+
 def cut(df: DataFrame) -> DataFrame:
     """Write df as a table in the shared folder and read it back: lineage ends there and lost executors cost nothing before it."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/tessera-{uuid.uuid4().hex}"
-    before = spark.conf.get(_BATCH)
-    spark.conf.set(_BATCH, min(BATCH_ROWS, int(before) if int(before) > 0 else BATCH_ROWS))  # whole texts: fewer at a time
-    try:
-        df.write.parquet(path)
-    finally:
-        spark.conf.set(_BATCH, before)
+    small_batches(spark)
+    df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -106,6 +120,7 @@ def number(docs: DataFrame) -> tuple[DataFrame, bool]:
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    small_batches(spark)
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 

@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm.common import BLOCK, cut, documents, forget, mix, number, pieces, shingle_hashes, word_hashes, word_spans
+from tessera.llm.common import BLOCK, cut, documents, forget, mix, number, pieces, shingle_hashes, trim, word_hashes, word_spans
 
 SIZE, THRESHOLD = 5, Fraction(3, 4)
 BUCKET_TOKENS = 1_000_000
@@ -61,7 +61,7 @@ class _Dealer:
     names = ["bucket", "docs", "sizes", "tokens", "owners"]
     fields = "bucket int, docs binary, sizes binary, tokens binary, owners binary"
 
-    def __init__(self, buckets: int, most: int = 600_000):
+    def __init__(self, buckets: int, most: int = 400_000):
         self.buckets, self.most = buckets, most
         self.reset()
 
@@ -90,6 +90,7 @@ class _Dealer:
 
 def _bucket(pdf: pd.DataFrame):
     """(documents, sizes, tokens in order, index of each token's document, how many documents hold the token) of a bucket."""
+    trim()
     docs = [np.frombuffer(x, np.int64) for x in pdf["docs"]]
     base = np.cumsum([0, *map(len, docs)])
     tokens = np.frombuffer(b"".join(pdf["tokens"]), np.uint64)
@@ -311,7 +312,9 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
                 d.add(seq[i], s)
                 if d.n > d.most:
                     yield d.flush()
+                    trim()
         yield d.flush()
+        trim()
 
     n1, p1 = buckets(total["tokens"]), parts(total["docs"])
     some = _with_shared(docs.select("seq", "text").mapInArrow(lambda it: deal_texts(it, n1), _Dealer.fields), p1)
@@ -331,7 +334,9 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
                 d.add(i, np.frombuffer(s.as_py(), np.uint64))
                 if d.n > d.most:
                     yield d.flush()
+                    trim()
         yield d.flush()
+        trim()
 
     def left(sets):
         t = sets.agg(F.count("*").alias("docs"), F.sum("n").alias("tokens")).first()

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm.common import cut, documents, mix, pieces, shingle_hashes, word_hashes, word_spans
+from tessera.llm.common import cut, documents, mix, pieces, shingle_hashes, trim, word_hashes, word_spans
 
 STATS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "n_upper", "n_letters", "n_marks")
 _SYMBOL = np.isin(np.arange(256), list(b"#*$%&|<>"))
@@ -114,6 +114,7 @@ def annotate(docs: DataFrame, keep: list[str], text: str = "text", prefix: str =
         for b in batches:
             stats = text_stats(b.column(text))
             yield pa.RecordBatch.from_arrays([*(b.column(c) for c in keep), *(pa.array(stats[k]) for k in STATS)], [*keep, *(prefix + k for k in STATS)])
+            trim()
 
     fields = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in keep)
     return docs.select(*dict.fromkeys([*keep, text])).mapInArrow(run, f"{fields}, " + ", ".join(f"`{prefix}{k}` long" for k in STATS))

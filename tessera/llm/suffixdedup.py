@@ -32,12 +32,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm.common import BYTE, as_buffer, cut, documents, forget, mix, number, powers
+from tessera.llm.common import BYTE, as_buffer, cut, documents, forget, mix, number, powers, trim
 
 LENGTH, GRAM = 100, 32
-PIECE = 1 << 19
+PIECE = 1 << 18
 BUCKET_ANCHORS = 250_000
-FLUSH_ANCHORS = 250_000
+FLUSH_ANCHORS = 150_000
 _PLACE = np.uint64((1 << 20) - 1)
 
 
@@ -192,8 +192,10 @@ def _batch_anchors(batches, buckets: int):
             n += len(part)
             if n >= FLUSH_ANCHORS:
                 yield flush()
+                trim()
                 n = 0
     yield flush()
+    trim()
 
 
 _SPAN = (("doc", "i8"), ("begin", "u4"), ("windows", "u1"))
@@ -206,6 +208,7 @@ def _repeat_rows(parts: int, *tables: tuple[bool, dict[str, np.ndarray]]) -> pd.
 
 def _sort_anchor_bucket(pdf: pd.DataFrame, parts: int) -> pd.DataFrame:
     """Step 2: repeats (open false), and what is left for step 3 (open true)."""
+    trim()
     t = _joined(pdf, _ANCHOR)
     if pdf["bucket"].iloc[0] < 0:
         return _repeat_rows(parts, (False, t))
@@ -221,6 +224,7 @@ def _sort_anchor_bucket(pdf: pd.DataFrame, parts: int) -> pd.DataFrame:
 
 def _of_documents(pdf: pd.DataFrame) -> pd.DataFrame:
     """The spans of a part: a row with packed lists for each document."""
+    trim()
     t = _joined(pdf, _SPAN)
     order = np.lexsort((t["begin"], t["doc"]))
     doc, begin, windows = (t[k][order] for k, _ in _SPAN)
@@ -246,9 +250,11 @@ def _batch_windows(batches, buckets: int):
                 at = w - s + offs[k]
                 got["doc"].append(np.full(len(w), seq[r])), got["begin"].append(w), got["gram"].append(h.of(at, at + LENGTH))
         yield _rows(list(_deal({k: np.concatenate(v) for k, v in got.items()}, _WINDOW, buckets)), _WINDOW)
+        trim()
 
 
 def _sort_window_bucket(pdf: pd.DataFrame, parts: int) -> pd.DataFrame:
+    trim()
     t = _joined(pdf, _WINDOW)
     order = np.lexsort((t["begin"], t["doc"], t["gram"]))
     again = order[~_first_of_equal(t["gram"][order])]
@@ -306,6 +312,7 @@ def remove_repeats(docs: DataFrame, keep: list[str], make) -> DataFrame:
                 s, e = merge_spans(begin, np.frombuffer(y.as_py() or b"", "u1").astype(np.int64))
                 rows.append(make(data[offs[k] : offs[k + 1]], s, e))
             yield pa.RecordBatch.from_arrays([*(b.column(c) for c in keep), *(pa.array([r[i] for r in rows], t) for i, t in enumerate(make.types))], [*keep, *names])
+            trim()
 
     return joined.select(*dict.fromkeys([*keep, "text", "begin", "windows"])).mapInArrow(run, ", ".join(f"`{c}` {k}" for c, k in zip(keep, kinds, strict=True)) + ", " + make.fields)
 
