@@ -38,6 +38,7 @@ LENGTH, GRAM = 100, 32
 PIECE = 1 << 18
 BUCKET_ANCHORS = 250_000
 FLUSH_ANCHORS = 150_000
+FLUSH_WINDOWS = 300_000
 _PLACE = np.uint64((1 << 20) - 1)
 
 
@@ -124,8 +125,8 @@ _WINDOW = (("doc", "i8"), ("begin", "u4"), ("gram", "u8"))
 
 
 def _deal(table: dict[str, np.ndarray], kinds, buckets: int):
-    """A row of packed columns for each bucket (the upper part of the gram's name)."""
-    b = ((table["gram"] >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)
+    """A row of packed columns for each bucket. Anchors have low names, being least of their window, so names are mixed again."""
+    b = ((mix(table["gram"], 1) >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)
     order = np.lexsort((table["gram"], b))
     cols = {k: table[k][order] for k, _ in kinds}
     b = b[order]
@@ -234,23 +235,37 @@ def _of_documents(pdf: pd.DataFrame) -> pd.DataFrame:
 
 def _batch_windows(batches, buckets: int):
     """Step 3 on Arrow batches of (seq, text, begin, windows): names of the windows that are left."""
+    got: dict[str, list] = {k: [] for k, _ in _WINDOW}
+    total = 0
+
+    def flush():
+        table = {k: np.concatenate([np.zeros(0, t), *got[k]]) for k, t in _WINDOW}
+        for v in got.values():
+            v.clear()
+        return _rows(list(_deal(table, _WINDOW, buckets)), _WINDOW)
+
     for b in batches:
         seq = b.column("seq").to_numpy()
-        lists = [(np.frombuffer(x.as_py(), "u4").astype(np.int64), np.frombuffer(y.as_py(), "u1").astype(np.int64)) for x, y in zip(b.column("begin"), b.column("windows"), strict=True)]
-        got: dict[str, list] = {k: [np.zeros(0, t)] for k, t in _WINDOW}
+        begins, counts = b.column("begin"), b.column("windows")
         for buf, offs, row, place in text_pieces(b.column("text")):
             h = Hashes(buf)
             for k, (r, s) in enumerate(zip(row.tolist(), place.tolist(), strict=True)):
-                begin, n = lists[r]
+                begin, n = np.frombuffer(begins[r].as_py(), "u4").astype(np.int64), np.frombuffer(counts[r].as_py(), "u1").astype(np.int64)
                 m = (begin >= s) & (begin <= s + offs[k + 1] - offs[k] - LENGTH)
                 begin, n = begin[m], n[m]
                 if not len(begin):
                     continue
                 w = np.repeat(begin, n) + np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n)
                 at = w - s + offs[k]
-                got["doc"].append(np.full(len(w), seq[r])), got["begin"].append(w), got["gram"].append(h.of(at, at + LENGTH))
-        yield _rows(list(_deal({k: np.concatenate(v) for k, v in got.items()}, _WINDOW, buckets)), _WINDOW)
-        trim()
+                for (c, t), v in zip(_WINDOW, (np.full(len(w), seq[r]), w, h.of(at, at + LENGTH)), strict=True):
+                    got[c].append(v.astype(t))
+                total += len(w)
+            if total >= FLUSH_WINDOWS:
+                yield flush()
+                trim()
+                total = 0
+    yield flush()
+    trim()
 
 
 def _sort_window_bucket(pdf: pd.DataFrame, parts: int) -> pd.DataFrame:
