@@ -112,6 +112,17 @@ def forget(df: DataFrame) -> None:
             p.getFileSystem(sc._jsc.hadoopConfiguration()).delete(p, True)
 
 
+def boxed(docs: DataFrame, *own: str) -> tuple[DataFrame, list[str]]:
+    """The columns own, and all columns under names of this library, so that none of docs can clash; those names."""
+    names = [f"_k{i}" for i in range(len(docs.columns))]
+    return docs.select(*own, *(F.col(f"`{c}`").alias(n) for c, n in zip(docs.columns, names, strict=True))), names
+
+
+def unboxed(df: DataFrame, docs: DataFrame, names: list[str], **other) -> DataFrame:
+    """The columns of docs again; other: what stands in for some."""
+    return df.select(*(other.get(c, F.col(n)).alias(c) for c, n in zip(docs.columns, names, strict=True)))
+
+
 def number(docs: DataFrame) -> tuple[DataFrame, bool]:
     """Adds seq, a different number for each row in the order of doc_id; whether it is doc_id itself, as it is where no id repeats or is null."""
     if dict(docs.dtypes)["doc_id"] in ("bigint", "int", "smallint", "tinyint") and docs.groupBy("doc_id").agg(F.count("*").alias("c")).where("c > 1 OR doc_id IS NULL").isEmpty():

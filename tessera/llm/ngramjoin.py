@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm.common import BLOCK, cut, documents, forget, mix, number, pieces, shingle_hashes, trim, word_hashes, word_spans
+from tessera.llm.common import BLOCK, boxed, cut, documents, forget, mix, number, pieces, shingle_hashes, trim, unboxed, word_hashes, word_spans
 
 SIZE, THRESHOLD = 5, Fraction(3, 4)
 BUCKET_TOKENS = 1_000_000
@@ -288,9 +288,17 @@ def _sharing(left: list[list[int]], right: list[list[int]]) -> np.ndarray:
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
-    """doc_id, seq, n_shingles, component (a seq) and component_id (its doc_id) of each row of docs (doc_id, text)."""
-    spark = docs.sparkSession
+    """doc_id, n_shingles and component_id of each row of docs (doc_id, text)."""
     docs, simple = number(docs.select("doc_id", "text"))
+    out, kind = classes_of(docs), docs.schema["doc_id"].dataType
+    if simple:
+        return out.select(F.col("seq").cast(kind).alias("doc_id"), "n_shingles", F.col("component").cast(kind).alias("component_id"))
+    ids = docs.select("seq", "doc_id")
+    return out.join(ids, "seq").join(ids.select(F.col("seq").alias("component"), F.col("doc_id").alias("component_id")), "component").select("doc_id", "n_shingles", "component_id")
+
+
+def classes_of(docs: DataFrame) -> DataFrame:
+    """seq, n_shingles and component (its least seq) of each row of docs (seq, text)."""
 
     def sign(batches):
         for b in batches:
@@ -349,22 +357,15 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     label = cut(link_components(prefixes, fewer))
     forget(fewer)
     known = classes.join(label.withColumnRenamed("node", "first"), "first", "left").select(*key, F.coalesce("component", "first").alias("component"))
-    out = signed.join(known, key, "left").select("seq", "n_shingles", F.coalesce("component", "seq").alias("component"))
-    if simple:
-        return out.select(F.col("seq").cast(docs.schema["doc_id"].dataType).alias("doc_id"), "seq", "n_shingles", "component", F.col("component").cast(docs.schema["doc_id"].dataType).alias("component_id"))
-    ids = docs.select("seq", "doc_id")
-    return out.join(ids, "seq").join(ids.select(F.col("seq").alias("component"), F.col("doc_id").alias("component_id")), "component").select("doc_id", "seq", "n_shingles", "component", "component_id")
+    return signed.join(known, key, "left").select("seq", "n_shingles", F.coalesce("component", "seq").alias("component"))
 
 
 def one_of_each(docs: DataFrame) -> DataFrame:
     """Of each component the first row, as it is; rows whose text has no words stay."""
-    cols = docs.columns
-    numbered, simple = number(docs)
-    first = near_duplicates(docs) if simple else near_duplicates(numbered.select("doc_id", "text"))
-    if simple:
-        return docs.join(first.where("seq = component").select(F.col("doc_id").alias("_first")), F.col("doc_id") == F.col("_first"), "left_semi")
-    # rows are numbered in one order both times, by id and text
-    return numbered.join(first.where("seq = component").select("seq"), "seq", "left_semi").select(*(F.col(f"`{c}`") for c in cols))
+    box, names = boxed(docs, "doc_id", "text")
+    numbered, _ = number(box)
+    first = classes_of(numbered.select("seq", "text")).where("seq = component").select("seq")
+    return unboxed(numbered.join(first, "seq", "left_semi"), docs, names)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

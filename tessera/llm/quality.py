@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm.common import cut, documents, mix, pieces, shingle_hashes, trim, word_hashes, word_spans
+from tessera.llm.common import boxed, cut, documents, mix, pieces, shingle_hashes, trim, unboxed, word_hashes, word_spans
 
 STATS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "n_upper", "n_letters", "n_marks")
 _SYMBOL = np.isin(np.arange(256), list(b"#*$%&|<>"))
@@ -197,8 +197,9 @@ def quality_verdicts(docs: DataFrame, labels: DataFrame, **how) -> DataFrame:
 def keep_good(docs: DataFrame, labels: DataFrame, **how) -> DataFrame:
     """The rows of docs that are kept, with the columns of docs; the text is read twice and never shuffled."""
     cutoffs = calibrate(cut(annotate(docs, ["doc_id", "lang"])), labels, **how)
-    cols = docs.columns
-    return judge(annotate(docs, cols, prefix="_q_"), cutoffs, prefix="_q_").where("kept").select(*(F.col(f"`{c}`") for c in cols))
+    box, names = boxed(docs, "text", "lang")
+    judged = judge(annotate(box, [*names, "lang"], prefix="_q_"), cutoffs, prefix="_q_")
+    return unboxed(judged.where("kept"), docs, names)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm.common import BYTE, as_buffer, cut, documents, forget, mix, number, powers, trim
+from tessera.llm.common import BYTE, as_buffer, boxed, cut, documents, forget, mix, number, powers, trim, unboxed
 
 LENGTH, GRAM = 100, 32
 PIECE = 1 << 18
@@ -359,11 +359,13 @@ def deduplicate(docs: DataFrame) -> DataFrame:
 
     A character cut in two by the end of a repeat goes as a whole. Null text stays null.
     """
-    cols = docs.columns
-    out = remove_repeats(docs, cols, _rest).where("_rest <> '' OR coalesce(text, '') = ''")
-    text = F.when(F.col("text").isNotNull(), F.col("_rest")).alias("text")
-    n = lambda c: F.length(F.coalesce(F.col("_rest"), F.lit(""))).cast(docs.schema[c].dataType).alias(c)
-    return out.select(*(text if c == "text" else n(c) if c == "n_chars" else F.col(f"`{c}`") for c in cols))
+    box, names = boxed(docs, "doc_id", "text")
+    own = dict(zip(docs.columns, names, strict=True))
+    out = remove_repeats(box, names, _rest).where(f"_rest <> '' OR coalesce({own['text']}, '') = ''")
+    other = {"text": F.when(F.col(own["text"]).isNotNull(), F.col("_rest"))}
+    if "n_chars" in own:
+        other["n_chars"] = F.length("_rest").cast(docs.schema["n_chars"].dataType)
+    return unboxed(out, docs, names, **other)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
