@@ -67,13 +67,22 @@ def blob_bytes(s: Column) -> Column:
 
 
 def triplets(b: Column) -> Column:
-    """(x, y, plane) of packed little-endian 32-bit numbers; another length is an error."""
+    """(x, y, plane) of packed little-endian 32-bit numbers, none for null; another length is an error."""
 
     def i32(at: Column) -> Column:
         byte = lambda k: F.conv(F.substring(F.hex(b), (at + k) * 2 + 1, F.lit(2)), 16, 10).cast("long")
         return int32(byte(0) + byte(1) * 256 + byte(2) * 65536 + byte(3) * 16777216)
 
     n = F.octet_length(b)
-    ok = F.when(n % 12 == 0, n).otherwise(F.raise_error(F.lit("path length is not a multiple of 12")).cast("int"))
+    ok = F.when(n.isNull() | (n % 12 == 0), n).otherwise(F.raise_error(F.lit("path length is not a multiple of 12")).cast("int"))
     at = F.when(ok > 0, F.sequence(F.lit(0), ok - 12, F.lit(12))).otherwise(F.array().cast("array<int>"))
     return F.transform(at, lambda i: F.struct(i32(i).alias("x"), i32(i + 4).alias("y"), i32(i + 8).alias("plane")))
+
+
+def map_area(s: Column) -> Column:
+    """x, z, xs, zs of "x,z[,xs[,zs]]" with , . / : or ; between; sizes are 1 and xs by default; null fields if x or z isn't a number."""
+    p = F.split(s, "[,./:;]")
+    at = lambda k: F.trim(F.get(p, F.lit(k))).try_cast("int")
+    ok = at(0).isNotNull() & at(1).isNotNull()
+    xs = F.coalesce(at(2), F.lit(1))
+    return F.struct(*(F.when(ok, v).alias(n) for n, v in (("x", at(0)), ("z", at(1)), ("xs", xs), ("zs", F.coalesce(at(3), xs)))))

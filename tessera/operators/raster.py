@@ -40,3 +40,11 @@ def height_carry(levels: DataFrame) -> DataFrame:
 def in_rect(px, py, x: str, y: str, w: str, h: str):
     """Half-open containment."""
     return (px >= F.col(x)) & (px < F.col(x) + F.col(w)) & (py >= F.col(y)) & (py < F.col(y) + F.col(h))
+
+
+def mip_hash(cells: DataFrame, value: str) -> DataFrame:
+    """crc32 over the four hashes of each 2 x 2 group in the order of y, then x; a missing cell is 0."""
+    from tessera.functions.hashes import crc_chain
+
+    at = lambda k: F.max(F.when((F.col("x") % 2) + (F.col("y") % 2) * 2 == k, F.col(value)))
+    return cells.groupBy(F.shiftright("x", 1).alias("px"), F.shiftright("y", 1).alias("py")).agg(*(at(k).alias(f"_{k}") for k in range(4))).select("px", "py", crc_chain(*(F.col(f"_{k}") for k in range(4))).alias("hash"))

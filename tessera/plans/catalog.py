@@ -10,25 +10,19 @@ from pyspark.sql import functions as F
 from tessera.functions import masks, text
 from tessera.operators import assets, graph, raster, search, tiles
 from tessera.plans import grid
+from tessera.plans.register import query as _query, registered
 from tessera.sources.tables import table
 
-_Q: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {}
-
-
-def _query(sql: str | None = None):
-    def add(f):
-        _Q[f.__name__] = (f, sql)
-        return f
-
-    return add
-
-
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {k: f for k, (f, _) in _Q.items()}
+    from tessera.plans import lookups  # noqa: F401  registers its queries
+
+    return {k: f for k, (f, _) in registered.items()}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {k: s for k, (_, s) in _Q.items() if s}
+    from tessera.plans import lookups  # noqa: F401
+
+    return {k: s for k, (_, s) in registered.items() if s}
 
 
 T = f"WITH {grid.TILES_SQL} "
