@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tessera.operators.ordered import running_total
+
 
 def index_overview(files: DataFrame) -> DataFrame:
     """For each major: count, total, largest, smallest, mean size (2 places), highest minor, missing minors. files: major, minor, size."""
@@ -46,11 +48,10 @@ def nearest(rows: DataFrame, when: str, moment: str, n: int, key: str) -> DataFr
 
 
 def catalog_neighbours(rows: DataFrame, order: list, mine, k: int) -> DataFrame:
-    """Rows up to k places before or after the rows where mine is true. Places come from one global sort of a catalog, which is short."""
-    w = Window.orderBy(*order)
-    numbered = rows.withColumn("rn", F.row_number().over(w)).withColumn("_m", mine)
-    at = numbered.where("_m").select(F.col("rn").alias("_rn"))
-    return numbered.join(F.broadcast(at.limit(1)), F.abs(F.col("rn") - F.col("_rn")) <= k).drop("_m", "_rn")
+    """Rows up to k places before or after the first row where mine is true, with rn, their place; order is total."""
+    numbered = running_total(rows, order, F.lit(1), "rn").withColumn("rn", F.col("rn").cast("int"))
+    at = numbered.where(mine).agg(F.min("rn").alias("_rn"))  # one row
+    return numbered.join(F.broadcast(at), F.abs(F.col("rn") - F.col("_rn")) <= k).drop("_rn")
 
 
 def first_range(left: DataFrame, right: DataFrame, on: list[str], lo: str, hi: str, rlo: str, rhi: str, rkey: str) -> DataFrame:
