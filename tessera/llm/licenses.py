@@ -1,13 +1,16 @@
 """License scans by an exact set-similarity join, in DataFrame functions only.
 
-A text block is a line, cut into overlapping runs of ``BLOCK`` words if longer. It meets a template if it holds at least
-``THRESHOLD`` of the template's distinct words. The join is exact: words are ordered by how many blocks hold them, the rarest
+A text block is a run of ``BLOCK`` words of a document, whatever lines they stand on; runs overlap by half, so a passage of up to
+``BLOCK // 2 + 1`` words stands whole in one. A block meets a template if it holds at least ``THRESHOLD`` of the template's distinct
+words. The join is exact: words are ordered by how many blocks hold them, the rarest
 first; a pair that meets the threshold of t words shares one of the template's first (size - t + 1) words (prefix filter); a block
 with fewer than t template words is out (length filter); and from the places i, j of the shared prefix word at most
 min(size - i, held - j) words are still to come (positional filter). Pairs left are counted word by word.
 
 Only words of the templates are kept of a block, so the text is read once; templates are a fixed short list. Base places are
-phrases found with all their words in a row. Defined results: null or empty text has no words and no places; words are
+phrases found with all their words in a row. A license whose naming sentence is too short to tell by a share of its words (four of
+the five of "released under the mit license" are in other licenses' too) is told by such a phrase as well, which counts for labels
+and score but is no base place. Defined results: null or empty text has no words and no places; words are
 [0-9a-z] after folding A-Z, and every character beyond ASCII.
 """
 
@@ -23,6 +26,8 @@ from tessera.llm.common import cut, documents
 
 #: Base phrases and their labels.
 PHRASES = (("cc by", "cc-by"), ("general public license", "gpl"), ("all rights reserved", "reserved"))
+#: Naming phrases of public licenses and their labels; not base phrases.
+NAMES = (("mit license", "mit"),)
 #: Opening or naming sentences of public licenses, as words.
 TEMPLATES = {
     "apache-2.0": "licensed under the apache license version 2 0",
@@ -36,7 +41,7 @@ TEMPLATES = {
 }
 THRESHOLD, BLOCK = 0.8, 64
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-_GAP = r"[\x00-\x09\x0B-\x2F\x3A-\x60\x7B-\x7F]+"
+_GAP = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
 
 def _vocabulary(templates: dict[str, str]) -> list[str]:
@@ -48,24 +53,19 @@ def _needed(n: int, threshold: float) -> int:
 
 
 def scan(docs: DataFrame, keep: list[str], phrases=PHRASES, templates=None) -> DataFrame:
-    """One pass over the text: keep, n_words, the base places, and for each block the template words it holds."""
+    """One pass over the text: keep, n_words, the base places, named, and for each block the template words it holds."""
     vocab = F.array(*(F.lit(w) for w in _vocabulary(templates or TEMPLATES)))
     text = F.translate(F.coalesce("text", F.lit("")), UPPER, LOWER)
-    lines = F.regexp_replace(text, _GAP, " ")  # \n stays
-    d = docs.select(*keep, lines.alias("_lines"))
+    d = docs.select(*keep, F.regexp_replace(text, _GAP, " ").alias("_text"))
+    d = d.select(*keep, "_text", F.filter(F.split("_text", " "), lambda w: w != "").alias("_words"))
+    any_phrase = reduce(lambda a, b: a | b, (F.contains("_text", F.lit(p)) for p, _ in (*phrases, *NAMES)))
     # one space on each side of each word, so that neighbouring phrases share none
-    words = F.filter(F.split(F.translate("_lines", "\n", " "), " "), lambda w: w != "")
-    d = d.select(*keep, "_lines", words.alias("_words"))
-    any_phrase = reduce(lambda a, b: a | b, (F.contains("_lines", F.lit(p.split()[0])) for p, _ in phrases))
     spaced = F.when(any_phrase, F.concat(F.lit(" "), F.array_join("_words", "  "), F.lit(" "))).otherwise(F.lit(""))
-    block = lambda ws: F.when(F.size(ws) <= BLOCK, F.array(ws)).otherwise(F.transform(F.sequence(F.lit(0), F.greatest(F.size(ws) - BLOCK // 2 - 1, F.lit(0)), F.lit(BLOCK // 2)), lambda i: F.slice(ws, i + 1, BLOCK)))
-    # lines of which nothing is in the vocabulary give no block
-    blocks = F.flatten(F.transform(F.split("_lines", "\n"), lambda line: block(F.split(line, " "))))
-    held = F.filter(F.transform(blocks, lambda ws: F.array_intersect(vocab, ws)), lambda x: F.size(x) > 0)
+    held = F.filter(F.transform(_runs(F.col("_words")), lambda ws: F.array_intersect(vocab, ws)), lambda x: F.size(x) > 0)
     d = d.select(*keep, F.size("_words").cast("long").alias("n_words"), spaced.alias("_s"), held.alias("_held"))
     count, first, last = [], [], []
     for k, (p, _) in enumerate(phrases):
-        needle = " " + p.replace(" ", "  ") + " "
+        needle = _needle(p)
         n = len(needle)
         d = d.withColumn(f"_n{k}", F.expr(f"(length(_s) - length(replace(_s, '{needle}', ''))) div {n}"))
         d = d.withColumn(f"_a{k}", F.when(F.col(f"_n{k}") > 0, F.expr(f"left(_s, instr(_s, '{needle}') - 1)")))
@@ -74,7 +74,18 @@ def scan(docs: DataFrame, keep: list[str], phrases=PHRASES, templates=None) -> D
         first.append(F.when(F.col(f"_n{k}") > 0, _words_before(f"_a{k}")))
         last.append(F.when(F.col(f"_n{k}") > 0, _words_before(f"_b{k}")))
     labels = F.array_sort(F.array_distinct(F.array_compact(F.array(*(F.when(F.col(f"_n{k}") > 0, F.lit(x)) for k, (_, x) in enumerate(phrases))))))
-    return d.select(*keep, "n_words", reduce(lambda a, b: a + b, count).cast("long").alias("n_base"), F.least(*first).cast("long").alias("first_word"), F.greatest(*last).cast("long").alias("last_word"), labels.alias("base"), "_held")
+    named = F.array_distinct(F.array_compact(F.array(*(F.when(F.contains("_s", F.lit(_needle(p))), F.lit(x)) for p, x in NAMES))))
+    return d.select(*keep, "n_words", reduce(lambda a, b: a + b, count).cast("long").alias("n_base"), F.least(*first).cast("long").alias("first_word"), F.greatest(*last).cast("long").alias("last_word"), labels.alias("base"), named.alias("named"), "_held")
+
+
+def _needle(phrase: str) -> str:
+    return " " + phrase.replace(" ", "  ") + " "
+
+
+def _runs(words: Column) -> Column:
+    """Runs of BLOCK words, one beginning at every half; the last may be shorter."""
+    many = F.sequence(F.lit(0), F.greatest(F.size(words) - BLOCK // 2 - 1, F.lit(0)), F.lit(BLOCK // 2))
+    return F.when(F.size(words) <= BLOCK, F.array(words)).otherwise(F.transform(many, lambda i: F.slice(words, i + 1, BLOCK)))
 
 
 def _words_before(prefix: str) -> Column:
@@ -96,6 +107,8 @@ def containment_join(blocks: DataFrame, templates: dict[str, str] | None = None,
     t = spark.createDataFrame(prefix, "tok int, label string, i int, size int, need int, all array<int>")
     rank = F.create_map(*(F.lit(x) for w, i in order.items() for x in (w, i)))
     b = blocks.where(F.size("held") >= least).select("row", F.array_sort(F.transform("held", lambda w: rank[w])).alias("own"))
+    # most blocks hold only the common words, which are in no prefix
+    b = b.where(F.arrays_overlap("own", F.array(*(F.lit(x) for x in sorted({p[0] for p in prefix})))))
     b = b.select("row", "own", F.posexplode("own").alias("j", "tok"))
     pairs = b.join(F.broadcast(t), "tok")  # at most one row for each template word
     pairs = pairs.where((F.size("own") >= F.col("need")) & (F.least(F.col("size") - F.col("i"), F.size("own") - F.col("j")) + F.least("i", "j") >= F.col("need")))
@@ -108,8 +121,8 @@ def scan_licenses(docs: DataFrame) -> DataFrame:
     found = containment_join(s.select("row", F.explode("_held").alias("held")))
     found = found.groupBy("row").agg(F.collect_set("label").alias("more"), F.max("score").alias("best"))  # at most one label for each template
     out = s.join(found, "row", "left")
-    labels = F.array_join(F.array_sort(F.array_union("base", F.coalesce("more", F.array().cast("array<string>")))), ",")
-    score = F.when(F.col("n_base") > 0, F.lit(1.0)).otherwise(F.coalesce("best", F.lit(0.0)))
+    labels = F.array_join(F.array_sort(F.array_union(F.array_union("base", "named"), F.coalesce("more", F.array().cast("array<string>")))), ",")
+    score = F.when((F.col("n_base") > 0) | (F.size("named") > 0), F.lit(1.0)).otherwise(F.coalesce("best", F.lit(0.0)))
     return out.select("doc_id", "n_words", "n_base", "first_word", "last_word", F.array_join("base", ",").alias("base_labels"), labels.alias("labels"), score.alias("score"))
 
 

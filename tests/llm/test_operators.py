@@ -149,6 +149,31 @@ def test_licenses(docs):
     assert (got[4].n_words, got[5].n_words, got[4].n_base, got[4].first_word, got[6].n_words) == (0, 0, 0, None, 180)
 
 
+def brute_license_labels(text):
+    """Labels and score by every template on every run of words, and by the phrases."""
+    w = re.findall(r"[0-9a-z\u0080-\U0010ffff]+", re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
+    size, step = licenses.BLOCK, licenses.BLOCK // 2
+    runs = [set(w[i : i + size]) for i in range(0, max(len(w) - step, 1), step)] if len(w) > size else [set(w)]
+    part = {k: max(len(set(t.split()) & x) / len(set(t.split())) for x in runs) for k, t in licenses.TEMPLATES.items()}
+    found = {k: p for k, p in part.items() if p >= licenses.THRESHOLD}
+    found |= {x: 1.0 for p, x in (*licenses.PHRASES, *licenses.NAMES) if f" {p} " in f" {' '.join(w)} "}
+    return ",".join(sorted(found)), max(found.values(), default=0.0)
+
+
+def test_licenses_over_line_breaks(spark):
+    mit = "Permission is hereby granted, free of charge, to any person obtaining a copy\nof this software and associated documentation files (the \"Software\"), to deal"
+    bsd = "# Redistribution and use in source and binary forms, with or without\n# modification, are permitted provided that the following conditions are\n# met:"
+    rng = random.Random(3)
+    texts = [mit, bsd, "Released under the MIT License.", "Released under the\nMIT\n  License", "Released under the ISC License.", "mit Lizenz, permit license", None, ""]
+    for n in (0, 1, 20, 31, 32, 33, 40, 63, 64, 65, 200):  # all places of a passage against the runs
+        texts += [f"{words(rng, n)}\n{x}\n{words(rng, 70)}" for x in (mit, bsd)]
+        texts += ["\n".join(rng.choice(list(licenses.TEMPLATES.values())) for _ in range(3)) + "\n" + words(rng, n)]
+        texts += [" ".join(rng.choice(sorted({w for t in licenses.TEMPLATES.values() for w in t.split()})) + rng.choice(" \n") for _ in range(n))]
+    got = {r.doc_id: (r.labels, r.score) for r in licenses.scan_licenses(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
+    assert got == {i: brute_license_labels(t) for i, t in enumerate(texts)}
+    assert [got[i][0] for i in range(6)] == ["mit", "bsd", "mit", "mit", "", ""] and all("mit" in got[i][0] for i in range(8, len(texts), 4))
+
+
 def test_url_filters(spark):
     link = '<a href="http://bad.net/x">a</a><a href="/in">b</a>'
     pages = [(1, "http://a.com/x?q", link), (2, "https://WWW.Example.com/en/1#t", None), (3, "http://m.example.com/en/", ""), (4, "http://bad.net/fr/1", "<a href='//evil.org/'>"), (5, None, None), (6, "nothing", "x"), (7, "http://friend.org/", '<a href="http://bad.net/">'), (8, "http://bad.net/other", "")]
