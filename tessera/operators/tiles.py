@@ -95,6 +95,16 @@ def sanitise(tiles: DataFrame, reached: DataFrame) -> DataFrame:
     return own.join(bits, KEY, "left").withColumn("walk_mask", F.coalesce("_m", F.lit(0)).cast("long")).drop("_m")
 
 
+def seeds(start: DataFrame, ends: DataFrame, forced: DataFrame) -> DataFrame:
+    """x, y, plane where reachability begins: the start, all ends of teleports (both of doors, objects and NPCs, where a lodestone, item or interface slot leads) and forced tiles. With those, teleports need not be followed as edges."""
+    return start.select(*KEY).unionAll(ends.select(*KEY)).unionAll(forced.where("force_mask IS NOT NULL").select(*KEY)).na.drop().distinct()
+
+
+def put_back(sanitised: DataFrame, forced: DataFrame) -> DataFrame:
+    """Overrides hold in the result too, also where they lead to a tile that isn't reached."""
+    return apply_overrides(sanitised, forced).withColumn("walk_mask", F.col("walk_mask").cast("long"))
+
+
 def ring_overrides(rings: DataFrame) -> DataFrame:
     """x, y, plane, force_mask, or_mask: a ring's own tile is forced open, its eight neighbours get the bit towards it (and for a diagonal both cardinals)."""
     d = F.broadcast(directions(rings.sparkSession))

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tessera.functions import masks, text
 from tessera.operators import assets, graph, raster, search, tiles
 from tessera.plans import grid
+from tessera.plans.cut import cut
 from tessera.plans.register import query as _query, registered
 from tessera.sources.tables import table
 
@@ -165,6 +166,43 @@ def teleports_all(spark, d):
     return row("customer", "customer", "c_custkey", "c_nationkey", "c_custkey % 25").unionByName(row("supplier", "supplier", "s_suppkey", "s_nationkey", "s_suppkey % 25")).unionByName(orders)
 
 
+_ENDS = f"""edges AS ({registered["teleport_center_edges"][1]}),
+ends AS (SELECT sx AS x, sy AS y FROM edges UNION ALL SELECT dx, dy FROM edges UNION ALL SELECT CAST(n_nationkey * 3 AS INT), CAST(n_regionkey * 7 AS INT) FROM nation UNION ALL SELECT {_mid("s_suppkey % 90", "s_suppkey % 90 + 5")}, {_mid("s_nationkey", "s_nationkey + 9")} FROM supplier UNION ALL SELECT {_mid("r_regionkey * 20", "r_regionkey * 20 + 3")}, {_mid("r_regionkey * 20", "r_regionkey * 20 + 3")} FROM region)"""
+CLEAN = f"WITH RECURSIVE {_ENDS}, {grid.CLEAN_SQL} "
+
+
+def _ends(spark, d):
+    """Both ends of doors, objects and NPCs; nations as lodestones, suppliers as items, regions as interface slots."""
+    e = teleport_center_edges(spark, d)
+    at = lambda f, x, y: f.select(x.cast("int").alias("x"), y.cast("int").alias("y"))
+    near = lambda v, n: masks.centre(v, v + n)
+    c, all_ = F.col, at(e, F.col("sx"), F.col("sy")).unionAll(at(e, F.col("dx"), F.col("dy")))
+    all_ = all_.unionAll(at(table(spark, d, "nation"), c("n_nationkey") * 3, c("n_regionkey") * 7))
+    all_ = all_.unionAll(at(table(spark, d, "supplier"), near(c("s_suppkey") % 90, 5), near(c("s_nationkey"), 9)))
+    all_ = all_.unionAll(at(table(spark, d, "region"), near(c("r_regionkey") * 20, 3), near(c("r_regionkey") * 20, 3)))
+    return all_.withColumn("plane", F.lit(0))
+
+
+def _seeded(spark, d):
+    forced = cut(tiles.ring_overrides(grid.rings(spark, d)))
+    t = tiles.apply_overrides(tiles.apply_overrides(grid.tiles(spark, d), grid.every_override(spark, d)), forced)
+    t = cut(tiles.reconcile(t))
+    return t, forced, tiles.reachable(t, tiles.seeds(grid.start(t, grid.side(spark, d)), _ends(spark, d), forced))
+
+
+@_query(CLEAN + "SELECT x, y FROM reach")
+def tiles_reachable_from_seeds(spark, d):
+    """The whole of tiles_reachable's job: overrides before reconciling, and all ends of teleports and forced tiles as seeds."""
+    return _seeded(spark, d)[2].select("x", "y")
+
+
+@_query(CLEAN + "SELECT t.x, t.y, CAST(coalesce(force_mask, coalesce(m, 0) | coalesce(or_mask, 0)) AS BIGINT) AS walk_mask, t.RegionID FROM tiles t JOIN reach USING (x, y) LEFT JOIN (SELECT rec.x, rec.y, bit_or(1 << bit) AS m FROM rec JOIN reach r2 ON rec.nx = r2.x AND rec.ny = r2.y GROUP BY rec.x, rec.y) s USING (x, y) LEFT JOIN ring_over USING (x, y)")
+def tiles_cleaned(spark, d):
+    """The whole of tiles_reachable_sanitised's job: from all seeds, with overrides put back at the end."""
+    t, forced, reached = _seeded(spark, d)
+    return tiles.put_back(tiles.sanitise(t, reached), forced).select("x", "y", "walk_mask", "RegionID")
+
+
 # -- versioned assets ---------------------------------------------------------------------------------
 
 

@@ -38,6 +38,19 @@ def overrides(spark: SparkSession, sf_dir: str) -> DataFrame:
     return last.select("x", "y", F.lit(0).alias("plane"), "force_mask", F.lit(None).cast("int").alias("or_mask"))
 
 
+def every_override(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Like overrides(), from all returned lines in the order of (l_orderkey, l_linenumber)."""
+    m = side(spark, sf_dir)
+    li = table(spark, sf_dir, "lineitem").where("l_returnflag = 'R'")
+    at = [(F.col("l_partkey") % m).cast("int").alias("x"), (F.col("l_orderkey") % m).cast("int").alias("y")]
+    last = li.groupBy(*at).agg(F.max_by((F.col("l_suppkey") % 256).cast("int"), F.struct("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")).alias("force_mask"))
+    return last.select("x", "y", F.lit(0).alias("plane"), "force_mask", F.lit(None).cast("int").alias("or_mask"))
+
+
+def rings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "customer").select((F.col("c_custkey") % 500).cast("int").alias("x"), (F.col("c_nationkey") * 3).cast("int").alias("y"), F.lit(0).alias("plane"))
+
+
 def reconciled(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tessera.operators.tiles import reconcile
 
@@ -58,3 +71,16 @@ REACH_SQL = """
 begin AS (SELECT x, y FROM side, tiles JOIN (SELECT x, y, bit_or(1 << bit) AS m2 FROM rec GROUP BY x, y) r USING (x, y) WHERE (m2 & 15) <> 0 ORDER BY (x - m // 2) * (x - m // 2) + (y - m // 2) * (y - m // 2), x, y LIMIT 1),
 reach AS (SELECT x, y FROM begin UNION SELECT rec.nx, rec.ny FROM reach JOIN rec ON rec.x = reach.x AND rec.y = reach.y)
 """
+EVERY_OVERRIDE_SQL = "over_ AS (SELECT CAST(l_partkey % m AS INT) AS x, CAST(l_orderkey % m AS INT) AS y, max_by(CAST(l_suppkey % 256 AS INT), (l_orderkey, l_linenumber, l_partkey, l_suppkey)) AS force_mask FROM lineitem, side WHERE l_returnflag = 'R' GROUP BY 1, 2)"
+RINGS_SQL = """ring AS (SELECT CAST(c_custkey % 500 AS INT) AS x, CAST(c_nationkey * 3 AS INT) AS y FROM customer),
+ring_all AS (SELECT x, y, 255 AS f, 0 AS o FROM ring UNION ALL SELECT x + d.dx, y + d.dy, NULL, (1 << d.opp) | d2.needs FROM ring, d JOIN d d2 ON d2.bit = d.opp),
+ring_over AS (SELECT CAST(x AS INT) AS x, CAST(y AS INT) AS y, max(f) AS force_mask, CAST(bit_or(o) AS INT) AS or_mask FROM ring_all GROUP BY 1, 2)"""
+_BEFORE, _AFTER = TILES_SQL.split("\ne0 AS", 1)
+#: As TILES_SQL and REACH_SQL, with overrides in tiles and reachability from all seeds; ends are named by the caller.
+CLEAN_SQL = f"""{_BEFORE.replace("tiles AS (", "raw AS (")}
+{EVERY_OVERRIDE_SQL}, {RINGS_SQL},
+tiles AS (SELECT x, y, plane, coalesce(r.force_mask, coalesce(o.force_mask, walk_mask) | coalesce(r.or_mask, 0)) AS walk_mask, RegionID FROM raw LEFT JOIN over_ o USING (x, y) LEFT JOIN ring_over r USING (x, y)),
+e0 AS{_AFTER}, {REACH_SQL.split("reach AS", 1)[0]}
+seeds AS (SELECT x, y FROM begin UNION SELECT x, y FROM ends UNION SELECT x, y FROM ring),
+reach AS (SELECT x, y FROM seeds JOIN tiles USING (x, y) UNION SELECT rec.nx, rec.ny FROM reach JOIN rec ON rec.x = reach.x AND rec.y = reach.y)
+"""
