@@ -50,6 +50,13 @@ def tiles_apply_overrides(spark, d):
     return t.select("x", "y", "plane", F.col("walk_mask").cast("long").alias("walk_mask"), "RegionID")
 
 
+@_query(T + f", {grid.EVERY_OVERRIDE_SQL} SELECT x, y, plane, coalesce(CAST(force_mask AS BIGINT), walk_mask) AS walk_mask, RegionID FROM tiles LEFT JOIN over_ USING (x, y)")
+def tiles_apply_overrides_all(spark, d):
+    """tiles_apply_overrides with every returned line."""
+    t = tiles.apply_overrides(grid.tiles(spark, d), grid.every_override(spark, d))
+    return t.select("x", "y", "plane", F.col("walk_mask").cast("long").alias("walk_mask"), "RegionID")
+
+
 @_query(T + "SELECT RegionID, count(*) AS tiles, CAST(sum(bit_count(walk_mask)) AS BIGINT) AS open_bits, min(x) AS min_x, max(y) AS max_y FROM tiles GROUP BY RegionID")
 def region_rollup(spark, d):
     return grid.tiles(spark, d).groupBy("RegionID").agg(F.count("*").alias("tiles"), F.sum(F.bit_count("walk_mask")).cast("long").alias("open_bits"), F.min("x").alias("min_x"), F.max("y").alias("max_y"))
@@ -82,6 +89,12 @@ def ring_overrides(spark, d):
     return tiles.ring_overrides(r).select("x", "y", "force_mask", "or_mask")
 
 
+@_query(f"WITH d(bit, dx, dy, opp, needs) AS (VALUES {grid.DIR_SQL}), {grid.RINGS_SQL} SELECT * FROM ring_over")
+def ring_overrides_all(spark, d):
+    """ring_overrides with a ring for every customer."""
+    return tiles.ring_overrides(grid.rings(spark, d)).select("x", "y", "force_mask", "or_mask")
+
+
 # -- scalar functions -------------------------------------------------------------------------------
 
 
@@ -352,3 +365,11 @@ def label_propagation(spark, d):
     e = table(spark, d, "part").where("p_partkey % 17 = 0").selectExpr("cast(p_size as bigint) src", "cast(p_partkey % 53 + 100 as bigint) dst").distinct()
     nodes = e.select(F.col("src").alias("node")).union(e.select("dst")).distinct()
     return graph.propagate_labels(nodes.withColumn("label", F.col("node")), e)
+
+
+@_query("WITH RECURSIVE e AS (SELECT DISTINCT p_size AS a, CAST(p_partkey % 53 + 100 AS BIGINT) AS b FROM part), u AS (SELECT a, b FROM e UNION SELECT b, a FROM e), r AS (SELECT a AS node, a AS label FROM u UNION SELECT u.b, r.label FROM r JOIN u ON u.a = r.node) SELECT CAST(node AS BIGINT) AS node, CAST(min(label) AS BIGINT) AS label FROM r GROUP BY node")
+def label_propagation_all(spark, d):
+    """label_propagation over every part."""
+    e = table(spark, d, "part").selectExpr("cast(p_size as bigint) src", "cast(p_partkey % 53 + 100 as bigint) dst").distinct()
+    nodes = e.select(F.col("src").alias("node")).union(e.select("dst")).distinct()
+    return graph.propagate_labels(nodes.withColumn("label", F.col("node")), e)

@@ -18,6 +18,8 @@ T = f"WITH {grid.TILES_SQL} "
 _A = "SELECT c_custkey AS id, CAST(c_custkey % 500 * 10 AS INT) AS x, c_nationkey * 40 AS y, CAST(1 + c_custkey % 37 AS INT) AS w, CAST(1 + c_custkey % 23 AS INT) AS h FROM customer"
 _B = "SELECT p_partkey AS id, CAST(p_partkey % 500 * 10 + 3 AS INT) AS x, p_size * 20 AS y, 60 AS w, 40 AS h FROM part WHERE p_partkey % 5 = 0"
 
+_B_ALL = _B.partition(" WHERE ")[0]
+
 
 def _rects(spark, d, sql, name):
     return spark.sql(sql.replace(f"FROM {name}", "FROM {rows}"), rows=table(spark, d, name))
@@ -34,6 +36,19 @@ def first_covering_rect(spark, d):
     return spatial.first_cover(points, _rects(spark, d, _B, "part"))
 
 
+@query(f"WITH a AS ({_A}), b AS ({_B_ALL}) SELECT a.id AS a_id, b.id AS b_id FROM a JOIN b ON a.x < b.x + b.w AND b.x < a.x + a.w AND a.y < b.y + b.h AND b.y < a.y + a.h")
+def rect_overlap_all(spark, d):
+    """rect_overlap with a rectangle for every part."""
+    return spatial.rect_overlap(_rects(spark, d, _A, "customer"), _rects(spark, d, _B_ALL, "part"))
+
+
+@query(f"WITH b AS ({_B_ALL}) SELECT o_orderkey, CAST(o_custkey * 7 % 5000 AS INT) AS px, CAST(o_orderkey % 1000 AS INT) AS py, min(id) AS id FROM orders JOIN b ON o_custkey * 7 % 5000 >= x AND o_custkey * 7 % 5000 < x + w AND o_orderkey % 1000 >= y AND o_orderkey % 1000 < y + h GROUP BY 1, 2, 3")
+def first_covering_rect_all(spark, d):
+    """first_covering_rect with a rectangle for every part."""
+    points = table(spark, d, "orders").selectExpr("o_orderkey", "cast(o_custkey * 7 % 5000 as int) px", "cast(o_orderkey % 1000 as int) py")
+    return spatial.first_cover(points, _rects(spark, d, _B_ALL, "part"))
+
+
 @query("SELECT s_nationkey, least(0, min(s_acctbal)) AS min_s_acctbal, greatest(0, max(s_acctbal)) AS max_s_acctbal, least(0, min(s_suppkey)) AS min_s_suppkey, greatest(0, max(s_suppkey)) AS max_s_suppkey FROM supplier GROUP BY 1")
 def bounding_boxes(spark, d):
     return spatial.bounds(table(spark, d, "supplier"), "s_nationkey", ["s_acctbal", "s_suppkey"])

@@ -2,6 +2,8 @@
 
 import random
 
+import pandas as pd
+
 from tessera.functions.masks import DIRECTIONS
 from tessera.operators import tiles
 
@@ -56,3 +58,32 @@ def test_cleaned_has_forced_masks(spark):
     from tessera.plans import catalog
 
     assert catalog.queries()["tiles_cleaned"](spark, "/root/testdata/sf0.001").where("x = 3 AND walk_mask = 255").count() >= 1
+
+
+def test_whole_tables(spark):
+    """No row of the small tables is left out of the queries over whole ones."""
+    from tessera.plans import catalog
+
+    sf = "/root/testdata/sf0.001"
+    run = lambda name: {tuple(r) for r in catalog.queries()[name](spark, sf).collect()}
+    part, cust, orders, li = (pd.read_parquet(f"{sf}/{t}.parquet").to_dict("records") for t in ("part", "customer", "orders", "lineitem"))
+
+    b = [(p["p_partkey"], p["p_partkey"] % 500 * 10 + 3, p["p_size"] * 20) for p in part]
+    a = [(c["c_custkey"], c["c_custkey"] % 500 * 10, c["c_nationkey"] * 40, 1 + c["c_custkey"] % 37, 1 + c["c_custkey"] % 23) for c in cust]
+    assert run("rect_overlap_all") == {(i, j) for i, x, y, w, h in a for j, p, q in b if x < p + 60 and p < x + w and y < q + 40 and q < y + h}
+    held = {(o["o_orderkey"], x, y): [j for j, p, q in b if p <= x < p + 60 and q <= y < q + 40] for o in orders for x, y in [(o["o_custkey"] * 7 % 5000, o["o_orderkey"] % 1000)]}
+    assert run("first_covering_rect_all") == {(*k, min(v)) for k, v in held.items() if v}
+
+    assert {(x, y) for x, y, f, _ in run("ring_overrides_all") if f == 255} == {(c["c_custkey"] % 500, c["c_nationkey"] * 3) for c in cust}
+
+    last = {}
+    for r in sorted((r for r in li if r["l_returnflag"] == "R"), key=lambda r: (r["l_orderkey"], r["l_linenumber"], r["l_partkey"], r["l_suppkey"])):
+        last[r["l_partkey"] % 40, r["l_orderkey"] % 40] = r["l_suppkey"] % 256
+    before = {(x, y): m for x, y, _, m, _ in run("tiles_load")}
+    assert {(x, y): m for x, y, _, m, _ in run("tiles_apply_overrides_all")} == {t: last.get(t, m) for t, m in before.items()}
+
+    root = {}
+    for p in part:
+        u, v = (root.setdefault(k, k) for k in (p["p_size"], p["p_partkey"] % 53 + 100))
+        root = {k: min(u, v) if r in (u, v) else r for k, r in root.items()}
+    assert run("label_propagation_all") == set(root.items())
