@@ -4,8 +4,9 @@ For each language a raw-content zstandard dictionary is cut from a bounded sampl
 whose dictionary makes its whole UTF-8 form smallest. score is the margin to the next smallest, scaled to 0..1; a prediction
 with a margin under ``min_margin`` is marked as not accepted, but still named.
 
-Sample: at most ``sample_chars`` characters a language, from documents in the order of a hash of their id (parameter), so the
-result does not depend on the partitioning. Defined results: null text, or text without a letter, is ``und`` with score 0; without
+Sample: ``sample_chars`` characters a language, all of a language that has fewer, from the documents of lowest hash of their id,
+so the result does not depend on the partitioning. A text gives at most a sixteenth of it, or the least part at which the texts of
+the language fill the sample; of a longer text that is made of pieces spread evenly over it. Defined results: null text, or text without a letter, is ``und`` with score 0; without
 any learnable language everything is ``und``; ties go to the language that sorts first; repeated rows are judged one by one.
 """
 
@@ -23,21 +24,32 @@ LEVEL = 3
 
 
 def learn(docs: DataFrame, held_out, sample_chars: int = SAMPLE_CHARS) -> dict[str, bytes]:
-    """Language -> dictionary. What comes to the driver is at most twice sample_chars a language."""
+    """Language -> dictionary. What comes to the driver is about one and a half to three times sample_chars a language."""
     rows = docs.where(~held_out & F.col("lang").isNotNull() & (F.length("text") > 0)).select("lang", "text", "doc_id")
-    per = {r["lang"]: r["chars"] for r in rows.groupBy("lang").agg(F.sum(F.length("text")).cast("long").alias("chars")).collect()}
+    piece = -(-sample_chars // 64)
+    caps = [piece * n for n in (4, 8, 16, 32, 64)]
+    given = F.array(*(F.sum(F.least(F.length("text"), F.lit(c))).cast("long") for c in caps))
+    per = {r["lang"]: r["given"] for r in rows.groupBy("lang").agg(given.alias("given")).collect()}
+    # what a text gives at most, so that no long text fills the sample where others can
+    cap = {k: next((c for c, n in zip(caps, v, strict=True) if n >= sample_chars), caps[-1]) for k, v in per.items()}
     # of hash values, the part that holds about 1.5 times the sample; all of a small language
-    part = F.create_map(*(F.lit(x) for k, c in per.items() for x in (k, min(1.0, 1.5 * sample_chars / c)))) if per else None
-    if part is None:
-        return {}
+    part = {k: min(1.0, 1.5 * sample_chars / v[caps.index(cap[k])]) for k, v in per.items()}
     u = F.pmod(F.xxhash64(F.col("doc_id")), F.lit(1 << 20)) / F.lit(float(1 << 20))
-    order = F.xxhash64("doc_id", "text")
-    # a text gives at most a sixteenth of the sample, so that no long text fills it
-    some = rows.where(u < part[F.col("lang")]).select("lang", order.alias("o"), F.substring("text", 1, sample_chars // 16).alias("text"))
-    out: dict[str, str] = {k: "" for k in sorted(per)}
-    for r in some.groupBy("lang").agg(F.array_sort(F.collect_list(F.struct("o", "text"))).alias("rows")).collect():
-        out[r["lang"]] = "\n".join(x["text"] for x in r["rows"])[:sample_chars]
-    return {k: v.encode() for k, v in out.items() if v}
+    order, n = F.xxhash64("doc_id", "text"), F.length("text")
+    out: dict[str, str] = {}
+    while short := sorted(per.keys() - out.keys()):
+        of = lambda d: F.try_element_at(F.create_map(*(F.lit(x) for k in short for x in (k, d[k]))), F.col("lang"))  # noqa: B023, E731
+        some = rows.where(u < of(part)).withColumn("cap", of(cap))
+        at = F.sequence(F.lit(0), F.expr(f"cap div {piece} - 1"))
+        spread = F.transform(at, lambda i: F.substr("text", (i * (n - piece) / (F.size(at) - 1)).cast("int") + 1, F.lit(piece)))
+        some = some.select("lang", order.alias("o"), F.when(n <= F.col("cap"), F.col("text")).otherwise(F.array_join(spread, "\n")).alias("text"))
+        for r in some.groupBy("lang").agg(F.array_sort(F.collect_list(F.struct("o", "text"))).alias("rows")).collect():
+            text = "\n".join(x["text"] for x in r["rows"])
+            if len(text) >= sample_chars or part[r["lang"]] >= 1:
+                out[r["lang"]] = text[:sample_chars]
+        # too few were drawn: more of the lowest hashes
+        part = {k: min(1.0, 2 * x) for k, x in part.items()}
+    return {k: out[k].encode() for k in sorted(out)}
 
 
 def classify(docs: DataFrame, dictionaries: dict[str, bytes], keep: list[str], min_margin: float = 0.02, level: int = LEVEL) -> DataFrame:

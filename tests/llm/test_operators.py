@@ -194,6 +194,19 @@ def test_language(spark, docs):
     assert langid.learn(docs.limit(0), F.lit(False)) == {}
 
 
+def test_language_sample_is_filled(spark):
+    rng, size = random.Random(2), 2000
+    texts = [("few", words(rng, 20_000)) for _ in range(5)] + [("one", words(rng, 20_000)), ("small", "only this"), ("small", "and that")]
+    texts += [("mixed", words(rng, 20_000)), *(("mixed", f"short {i}") for i in range(50)), *(("many", words(rng, 30)) for _ in range(400))]
+    texts += [("first", "a" * 50_000 + "b" * 50_000)] * 3 + [(None, "x" * 90), ("none", None), ("none", "")]
+    docs = spark.createDataFrame([(i, *x) for i, x in enumerate(texts)], "doc_id long, lang string, text string")
+    got = langid.learn(docs, F.lit(False), size)
+    assert {k: len(v) for k, v in got.items()} == {"few": size, "first": size, "many": size, "mixed": size, "one": size, "small": 18}
+    assert abs(got["first"].count(b"a") - got["first"].count(b"b")) < size / 4
+    assert langid.learn(docs.repartition(5), F.lit(False), size) == got
+    assert set(langid.learn(docs, F.col("lang") == "few", size)) == got.keys() - {"few"}
+
+
 def test_toxicity_automaton(spark, docs):
     lex = toxicity.Lexicon({"idiot": 2.0, "moron": 3.0}, {"lowe": 1.0})
     assert lex.match("idiot") == (2.0, False) and lex.match("lowexyz") == (1.0, False) and lex.match("hello") == (0.0, False)
