@@ -42,7 +42,7 @@ STAGES = [
     ("mixing sources", source_mixing),
 ]
 
-#: The stages are not expressible in SQL; tests/llm holds the rows of run() against a brute-force version.
+#: The stages are not expressible in SQL; tests/llm holds the rows of run() on a small fixture against a brute-force version, words taken up to the random choice.
 ORACLE_SQL = None
 
 
