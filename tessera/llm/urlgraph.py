@@ -3,7 +3,8 @@
 Trust is a personalised PageRank from the hosts whose pages a rule allows, along links; distrust is one from the hosts whose
 pages a rule blocks, against the links' direction (who links to bad hosts is suspect). A host is blocked if its distrust exceeds
 its trust by more than ``threshold``. Both walks run as one table in Spark: links are summed to host pairs before anything moves,
-each round is a join and a sum, and every few rounds are written to the shared folder.
+each round is a join and a sum, written to the shared folder. A round moves on what the last one brought, and the walks end when
+all that is still to come to all hosts together is under ``TOLERANCE``, so no host is off by more.
 
 Defined results: null url, or one without "://", has empty host and path and no rule, and is allowed; html without links,
 or null, adds no edge; pages may repeat; links from a host to itself and relative links stay inside the host and are no edges.
@@ -11,15 +12,17 @@ or null, adds no edge; pages may repeat; links from a host to itself and relativ
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm.common import cut
+from tessera.llm.common import cut, forget
 
 #: (verdict, host, path)
 RULES = (("allow", "com", "/"), ("block", "example.com", "/en/"), ("allow", "www.example.com", "/en/"), ("block", "net", "/es/"), ("block", "net", "/fr/"))
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-DAMPING, ROUNDS, THRESHOLD = 0.85, 12, 0.05
+DAMPING, TOLERANCE, THRESHOLD = 0.85, 1e-4, 0.05
 
 
 def host_and_path(url: Column) -> tuple[Column, Column]:
@@ -48,19 +51,31 @@ def host_edges(pages: DataFrame) -> DataFrame:
     return dst.where("src <> '' AND dst <> '' AND src <> dst").groupBy("src", "dst").agg(F.count("*").alias("n"))
 
 
-def propagate(seeds: DataFrame, edges: DataFrame, rounds: int = ROUNDS, damping: float = DAMPING) -> DataFrame:
+def propagate(seeds: DataFrame, edges: DataFrame, tolerance: float = TOLERANCE, damping: float = DAMPING) -> DataFrame:
     """host, trust, distrust. seeds: host, trust, distrust, each 0 to 1."""
     e = edges.select(F.lit(0).alias("kind"), "src", "dst", "n").union(edges.select(F.lit(1), F.col("dst"), F.col("src"), "n"))
     out = e.groupBy("kind", "src").agg(F.sum("n").alias("total"))
     e = cut(e.join(out, ["kind", "src"]).select("kind", "src", "dst", (F.col("n") / F.col("total")).alias("w")))
-    seed = cut(seeds.select(F.lit(0).alias("kind"), "host", F.col("trust").alias("s")).union(seeds.select(F.lit(1), "host", F.col("distrust"))).where("s > 0"))
-    rank = seed.withColumn("r", (1 - damping) * F.col("s")).drop("s")
-    if not e.isEmpty():
-        for k in range(rounds):
-            moved = rank.withColumnRenamed("host", "src").join(e, ["kind", "src"]).groupBy("kind", F.col("dst").alias("host")).agg((damping * F.sum(F.col("r") * F.col("w"))).alias("r"))
-            rank = moved.union(seed.select("kind", "host", (1 - damping) * F.col("s"))).groupBy("kind", "host").agg(F.sum("r").alias("r"))
-            if k % 3 == 2:
-                rank = cut(rank)
+    seed = seeds.select(F.lit(0).alias("kind"), "host", F.col("trust").alias("s")).union(seeds.select(F.lit(1), "host", F.col("distrust"))).where("s > 0")
+    rank = brought = cut(seed.select("kind", "host", ((1 - damping) * F.col("s")).alias("r")))
+    rounds: list[DataFrame] = []
+    add = lambda: reduce(DataFrame.union, rounds, rank).groupBy("kind", "host").agg(F.sum("r").alias("r"))
+    linked = not e.isEmpty()
+    while linked:
+        moved = brought.withColumnRenamed("host", "src").join(e, ["kind", "src"]).groupBy("kind", F.col("dst").alias("host")).agg((damping * F.sum(F.col("r") * F.col("w"))).alias("r"))
+        last, brought = brought, cut(moved)
+        rounds.append(brought)
+        # no round brings more than damping times the one before
+        if (brought.agg(F.sum("r")).first()[0] or 0.0) * damping / (1 - damping) < tolerance:
+            break
+        if len(rounds) == 8:
+            rank, spent = cut(add()), [rank, *rounds[:-1]]
+            rounds = []
+            for x in spent:
+                forget(x)
+        elif len(rounds) == 1 and last is not rank:  # added up the round before
+            forget(last)
+    rank = add()
     return rank.groupBy("host").agg(F.sum(F.when(F.col("kind") == 0, F.col("r")).otherwise(0.0)).alias("trust"), F.sum(F.when(F.col("kind") == 1, F.col("r")).otherwise(0.0)).alias("distrust"))
 
 

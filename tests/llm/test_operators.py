@@ -188,6 +188,24 @@ def test_url_filters(spark):
     assert abs(bad.distrust - 0.15 * 0.5) < 1e-12 and abs(bad.trust - 0.85 * 0.15) < 1e-12 and bad.verdict == "allow"
 
 
+def test_url_walks_converge(spark):
+    hosts = [f"c{i}" for i in range(20)] + ["hub", "back"] + [f"s{i}" for i in range(40)]
+    links = [(f"c{i}", f"c{i + 1}", 1) for i in range(19)]  # a chain
+    links += [(f"s{i}", "hub", 1) for i in range(40)] + [("hub", "back", 3), ("hub", "c0", 1), ("back", "hub", 2)]  # a ring fed by many
+    trust = {h: 1.0 for h in hosts if h[0] == "s"} | {"c0": 0.5}
+    distrust = {"c19": 1.0, "back": 0.25}
+    at, n = {h: i for i, h in enumerate(hosts)}, len(hosts)
+    w = np.zeros((n, n))
+    for a, b, k in links:
+        w[at[a], at[b]] = k
+    share = lambda m: m / np.maximum(m.sum(1, keepdims=True), 1e-300)
+    exact = lambda m, s: np.linalg.solve(np.eye(n) - 0.85 * share(m).T, 0.15 * np.array([s.get(h, 0.0) for h in hosts]))
+    want = dict(zip(hosts, zip(exact(w, trust), exact(w.T, distrust), strict=True), strict=True))
+    seeds = spark.createDataFrame([(h, trust.get(h, 0.0), distrust.get(h, 0.0)) for h in hosts], "host string, trust double, distrust double")
+    got = {r.host: (r.trust, r.distrust) for r in urlgraph.propagate(seeds, spark.createDataFrame(links, "src string, dst string, n long"), 1e-3).collect()}
+    assert want["c19"][0] > 0 and all(abs(a - b) < 1e-3 for h in hosts for a, b in zip(want[h], got.get(h, (0.0, 0.0)), strict=True))
+
+
 def test_language(spark, docs):
     got = {r.doc_id: r for r in langid.classify(docs, {"en": b"the of and " * 50, "fr": "é è ç ".encode() * 50}, ["doc_id"]).collect()}
     assert got[4].lang_pred == got[5].lang_pred == got[13].lang_pred == "und" and got[6].lang_pred == "fr"
