@@ -11,7 +11,7 @@ to the tasks holds at most ``max_keys`` hashes; a larger test set is dealt into
 ``slices``), each exact for its items.
 
 Defined results: words are split at white space with A-Z folded; null or empty texts and items leak nothing; an item of fewer
-words than the shortest mask is not searched for; repeated rows are judged one by one, and repeated items each count.
+words than the shortest mask leaks where all its words stand in a row; repeated rows are judged one by one, and repeated items each count.
 """
 
 from __future__ import annotations
@@ -30,6 +30,12 @@ MISS = 1.5
 MIN_WORDS, MIN_SHARE = 13, 0.6
 MAX_KEYS = 1_000_000
 _BITS = 20
+_SHORT = min(map(len, MASKS))
+
+
+def _masks_of(n: int) -> list[tuple[int, str]]:
+    """(number, mask) for an item of n words; one of fewer than any mask has is one key of all its words."""
+    return list(enumerate(MASKS)) if n >= _SHORT else [(len(MASKS) + n, "1" * n)] if n else []
 
 
 def seed_keys(h: np.ndarray, mask: str, number: int) -> np.ndarray:
@@ -57,6 +63,7 @@ class Items:
     item: np.ndarray
     at: np.ndarray
     seen: np.ndarray
+    masks: list
 
     @staticmethod
     def of(ids: list, texts: list) -> Items:
@@ -64,15 +71,17 @@ class Items:
         starts, ends, first = word_spans(buf, offs)
         h = word_hashes(buf, starts, ends, lower=True)
         keys, item, at = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
-        for i in range(len(ids)):
-            for m, mask in enumerate(MASKS):
+        used: set[tuple[int, str]] = set()
+        for i, n in enumerate(np.diff(first).tolist()):
+            used.update(_masks_of(n))
+            for m, mask in _masks_of(n):
                 k = seed_keys(h[first[i] : first[i + 1]], mask, m)
                 keys.append(k), item.append(np.full(len(k), i)), at.append(np.arange(len(k)))
         keys, item, at = map(np.concatenate, (keys, item, at))
         order = np.argsort(keys, kind="stable")
         seen = np.zeros(1 << _BITS, bool)
         seen[(keys & np.uint64((1 << _BITS) - 1)).astype(np.int64)] = True
-        return Items(ids, h, first, keys[order], item[order], at[order], seen)
+        return Items(ids, h, first, keys[order], item[order], at[order], seen, sorted(used))
 
 
 def best_run(equal: np.ndarray) -> tuple[int, int, int]:
@@ -90,7 +99,7 @@ def leaks(column, items: Items, min_words: int = MIN_WORDS, min_share: float = M
         starts, ends, first = word_spans(buf, offs)
         h = word_hashes(buf, starts, ends, lower=True)
         diagonals: set[tuple[int, int, int]] = set()
-        for m, mask in enumerate(MASKS):
+        for m, mask in items.masks:
             k = seed_keys(h, mask, m)
             p = np.flatnonzero(items.seen[(k & np.uint64((1 << _BITS) - 1)).astype(np.int64)])
             lo, hi = np.searchsorted(items.keys, k[p], "left"), np.searchsorted(items.keys, k[p], "right")

@@ -142,6 +142,18 @@ def test_decontamination(spark, docs):
     assert decontaminate.clean(d, bench).count() == d.count() - 2 and decontaminate.find(d, bench.limit(0)).count() == 0
 
 
+def test_decontamination_short_items(spark):
+    items = ["what is it", "Is it so?", "one", "a b c d e f", "a b c d e f g", "", None]
+    texts = ["say WHAT is  it now", "what it is", "what is", "it what\nis\tit", "so is it so? yes", "One", "none ones", "x a b c d e f y", "a b c d e f g", "a b c x d e f", None, ""]
+    flat = [f" {' '.join((t or '').lower().split())} " for t in texts]
+    want = sorted((i, k) for i, t in enumerate(flat) for k, x in enumerate(items) if x and f" {x.lower()} " in t)
+    docs, bench = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    found = decontaminate.find(docs, bench).collect()
+    # "a b c d e f" is also most of the item of seven words, but holds no seed of it
+    assert sorted((r.doc_id, r.item_id) for r in found) == want and all(r.equal_words == r.item_words for r in found)
+    assert sorted(r.doc_id for r in decontaminate.clean(docs, bench).collect()) == sorted(set(range(len(texts))) - {i for i, _ in want})
+
+
 def test_licenses(docs):
     got = {r.doc_id: r for r in licenses.scan_licenses(docs).collect()}
     r = got[14]
