@@ -8,7 +8,7 @@ follow. Each place that a term takes counts by its weight, less for a misspellin
 quotation marks around it, or a word of reporting within ``CONTEXT`` words before. A logistic model over these sums gives the score.
 
 What is learned comes from at most ``sample_rows`` labelled rows (parameter), chosen by a hash of their id. Scores cover whole
-texts. Defined results: null or empty text is scored like a text without a term; without labels of both kinds the score is 0
+texts, and words of any length; only a term is at most ``MAX_TERM`` letters long. Defined results: null or empty text is scored like a text without a term; without labels of both kinds the score is 0
 everywhere; labels with nulls are ignored, a row with several labels counts by the highest; repeated rows are scored one by one.
 """
 
@@ -24,10 +24,10 @@ from pyspark.sql import functions as F
 from tessera.llm.common import crc_mod, cut, documents, pieces, word_hashes, word_spans
 
 SAMPLE_ROWS = 12_000
-MAX_TERMS, MIN_STEM, MAX_STEM, MIN_FUZZY = 400, 4, 8, 5
+MAX_TERMS, MAX_TERM, MIN_STEM, MAX_STEM, MIN_FUZZY = 400, 64, 4, 8, 5
 CONTEXT = 8
 REPORTING = frozenset("quote quoted quotes quoting says said wrote writes word term cited citing called zitat sagte schrieb wort dijo palabra cita mot citation".split())
-QUOTES = "\"'“”„«»‘’`"
+QUOTES = tuple("\"'“”„«»‘’`")
 _EDGES = "\"'“”„«»‘’`.,;:!?()[]{}*_-–—…#%$&|<>~^+=/\\"
 _FEATURES = 7
 
@@ -109,16 +109,21 @@ def fold(w: str) -> str:
     return w.strip(_EDGES).lower()
 
 
-def _quoted(text: str, words: list[str], k: int) -> bool:
+def _quoted(words: list[str], k: int) -> bool:
     """Whether word k stands in quotation: its own marks, or between marks or after a word of reporting in the words around."""
     w = words[k]
-    if w[0] in QUOTES and w.rstrip(".,;:!?")[-1:] in QUOTES:
+    closes = lambda x: x.rstrip(".,;:!?").endswith(QUOTES)
+    if w.startswith(QUOTES) and closes(w):
         return True
     before = words[max(0, k - CONTEXT) : k]
     if any(fold(x) in REPORTING for x in before):
         return True
-    opened = any(x[0] in QUOTES for x in [*before, w]) and not any(x.rstrip(".,;:!?")[-1:] in QUOTES for x in before)
-    return opened and any(x.rstrip(".,;:!?")[-1:] in QUOTES for x in words[k : k + CONTEXT])
+    opened = any(x.startswith(QUOTES) for x in [*before, w]) and not any(map(closes, before))
+    return opened and any(map(closes, words[k : k + CONTEXT]))
+
+
+def _word(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray, k: int) -> str:
+    return buf[starts[k] : ends[k]].tobytes().decode("utf-8", "ignore")
 
 
 class Scorer:
@@ -139,19 +144,16 @@ class Scorer:
             for i, (key, k) in enumerate(zip(h.tolist(), at.tolist(), strict=True)):
                 m = self.known.get(key)
                 if m is None:
-                    m = self.known[key] = self.lexicon.match(fold(buf[starts[k] : min(ends[k], starts[k] + 256)].tobytes().decode("utf-8", "ignore")))
+                    m = self.known[key] = self.lexicon.match(fold(_word(buf, starts, ends, k)))
                 hit[i] = m[0] > 0
             places = np.flatnonzero(hit[back]) if len(h) else np.zeros(0, np.int64)
             for d in np.unique(np.searchsorted(first, places, "right") - 1):
                 own = places[(places >= first[d]) & (places < first[d + 1])]
-                text = None
-                words = None
                 plain = []
                 for k in own.tolist():
                     w, wrong = self.known[int(h[back[k]])]
                     lo, hi = max(int(first[d]), k - CONTEXT), min(int(first[d + 1]), k + CONTEXT)
-                    words = buf[starts[lo] : ends[hi - 1]].tobytes().decode("utf-8", "ignore").split()
-                    q = k - lo < len(words) and _quoted(text, words, k - lo)
+                    q = _quoted([_word(buf, starts, ends, i) for i in range(lo, hi)], k - lo)
                     x[d, 2 if q else 1 if wrong else 0] += w
                     if not q:
                         plain.append(k)
@@ -173,9 +175,8 @@ def learn_terms(sample: DataFrame, max_terms: int = MAX_TERMS) -> tuple[dict[str
         tox, rest = Counter(), Counter()
         for b in batches:
             for t, y in zip(b.column("text"), b.column("toxic").to_pylist(), strict=True):
-                seen = {fold(w)[:64] for w in (t.as_py() or "").split()}
-                seen = {w for w in seen if len(w) >= 3 and w.isalpha()}
-                terms = {"=" + w for w in seen} | {w[:k] for w in seen for k in range(MIN_STEM, min(MAX_STEM, len(w)) + 1)}
+                seen = {w for w in map(fold, (t.as_py() or "").split()) if len(w) >= 3 and w.isalpha()}
+                terms = {"=" + w for w in seen if len(w) <= MAX_TERM} | {w[:k] for w in seen for k in range(MIN_STEM, min(MAX_STEM, len(w)) + 1)}
                 (tox if y else rest).update(terms)
         names = list(tox | rest)
         yield pa.RecordBatch.from_arrays([pa.array(names, pa.string()), pa.array([tox[n] for n in names], pa.int64()), pa.array([rest[n] for n in names], pa.int64())], ["term", "tox", "rest"])
