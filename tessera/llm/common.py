@@ -65,13 +65,15 @@ def mix(x: np.ndarray, k: int = 0) -> np.ndarray:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder in spark.checkpoint.dir; a temporary one only where neither setting nor context has any."""
+    """The folder in spark.checkpoint.dir; a temporary one only where neither setting nor context has any, and all tasks run on this machine."""
     d = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not d:
         jsc = spark.sparkContext._jsc.sc().getCheckpointDir()
         if jsc.isDefined():
             d = jsc.get()
         else:
+            if not spark.sparkContext.master.startswith("local"):
+                raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
             d = "file://" + tempfile.mkdtemp(prefix="tessera-")
             spark.sparkContext.setCheckpointDir(d)
     return d
@@ -112,6 +114,20 @@ def forget(df: DataFrame) -> None:
             p.getFileSystem(sc._jsc.hadoopConfiguration()).delete(p, True)
 
 
+def spread_join(many: DataFrame, one: DataFrame, key: str, by: str, most: int = 100_000) -> DataFrame:
+    """Inner join of many (a table that can be read twice) with one, which has few rows for each key; a key may hold any share of many's rows.
+
+    Keys with more than a most-th of the rows, of which there can't be more than most, are broadcast with a number of salts;
+    their rows are dealt by a hash of column by, and one's rows are repeated for each salt.
+    """
+    limit = max(1000, many.count() // most)
+    hot = many.groupBy(key).agg(F.count("*").alias("_n")).where(F.col("_n") > limit).select(key, F.ceil(F.col("_n") / limit).cast("int").alias("_salts"))
+    hot = F.broadcast(cut(hot))
+    left = many.join(hot, key, "left").withColumn("_salt", F.coalesce(F.pmod(F.xxhash64(by), "_salts").cast("int"), F.lit(0))).drop("_salts")
+    right = one.join(hot, key, "left").withColumn("_salt", F.explode(F.sequence(F.lit(0), F.coalesce("_salts", F.lit(1)) - 1))).drop("_salts")
+    return left.join(right, [key, "_salt"]).drop("_salt")
+
+
 def boxed(docs: DataFrame, *own: str) -> tuple[DataFrame, list[str]]:
     """The columns own, and all columns under names of this library, so that none of docs can clash; those names."""
     names = [f"_k{i}" for i in range(len(docs.columns))]
@@ -124,10 +140,10 @@ def unboxed(df: DataFrame, docs: DataFrame, names: list[str], **other) -> DataFr
 
 
 def number(docs: DataFrame) -> tuple[DataFrame, bool]:
-    """Adds seq, a different number for each row in the order of doc_id; whether it is doc_id itself, as it is where no id repeats or is null."""
+    """Adds seq, a different number for each row in the order of doc_id, nulls last; whether it is doc_id itself, as it is where no id repeats or is null."""
     if dict(docs.dtypes)["doc_id"] in ("bigint", "int", "smallint", "tinyint") and docs.groupBy("doc_id").agg(F.count("*").alias("c")).where("c > 1 OR doc_id IS NULL").isEmpty():
         return docs.withColumn("seq", F.col("doc_id").cast("long")), True
-    return cut(docs.orderBy(F.asc_nulls_first("doc_id"), "text").withColumn("seq", F.monotonically_increasing_id())), False
+    return cut(docs.orderBy(F.asc_nulls_last("doc_id"), "text").withColumn("seq", F.monotonically_increasing_id())), False
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -5,6 +5,7 @@ import random
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -128,8 +129,41 @@ def test_mixing(docs, rows):
     for n in (1, 2, 7, 1000):
         assert sorted(mixing.permute(np.arange(n), n, "k")) == list(range(n))
     totals = np.array([5000, 10, 0, 7777])
-    parts = sum(mixing.shard_counts(totals, 100, s, 1) for s in range(-(-int(totals.sum()) // 100)))
-    assert (parts == totals).all()
+    at = np.zeros(4, np.int64)
+    for s in range(-(-int(totals.sum()) // 100)):
+        before, inside = mixing.shard_counts(totals, 100, s, 1)
+        assert (before == at).all() and inside.sum() in (100, totals.sum() % 100)
+        at += inside
+    assert (at == totals).all()
+
+
+def test_mixing_slots_give_the_target():
+    for size in (1, 5, 16, 17, 40, 333):
+        for want in sorted({0, 1, 3, 15, 16, 17, size - 1, size, size + 1, 2 * size + 3, 3 * size}):
+            if 0 <= want <= 3 * size:
+                blocks, given = -(-size // 16), 0
+                n, last = mixing.needed_slots(size, want, 16, 2, 7)
+                for e in range(3):
+                    order = mixing.permute(np.arange(blocks), blocks, f"7/2/{e}")
+                    assert (mixing.permute(order, blocks, f"7/2/{e}", back=True) == np.arange(blocks)).all()
+                    for j, b in enumerate(order):
+                        if e * blocks + j < n:
+                            full = size - 16 * (blocks - 1) if b == blocks - 1 else 16
+                            given += min(full, last) if e * blocks + j == n - 1 else full
+                assert given == want, (size, want)
+
+
+def test_mixing_does_not_follow_the_partitioning(spark):
+    rng = random.Random(4)
+    rows = [(i % 90, words(rng, rng.randrange(1, 300)), ("a", "b", None, "tiny")[min(i % 7, 2) if i else 3]) for i in range(200)] + [(7, "same text", "a")] * 3
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    got = [mixing.digest(d).collect() for d in (docs.coalesce(1), docs.repartition(7))]
+    assert sorted(map(tuple, got[0])) == sorted(map(tuple, got[1]))
+    taken = {}
+    for r in got[0]:
+        assert r.taken <= 3 * r.size
+        taken[r.source_size, r.target] = taken.get((r.source_size, r.target), 0) + r.taken
+    assert all(n == round(t) for (_, t), n in taken.items()) and len(taken) == 4
 
 
 def test_decontamination(spark, docs):
@@ -242,7 +276,9 @@ def test_toxicity_automaton(spark, docs):
     assert lex.match("idiot") == (2.0, False) and lex.match("lowexyz") == (1.0, False) and lex.match("hello") == (0.0, False)
     assert all(lex.match(w) == (2.0, True) for w in ("idiit", "idot", "idioot", "idoit", "xidiot"))
     assert lex.match("idd") == (0.0, False) and lex.match("iddiott")[0] == 0.0
-    assert toxicity._quoted(None, ["he", "said", "you", "moron"], 3) and not toxicity._quoted(None, ["you", "moron"], 1)
+    assert toxicity._quoted(["he", "said", "you", "moron"], 3) and not toxicity._quoted(["you", "moron"], 1)
+    long = toxicity.Scorer(lex).features(pa.array(["you idiot", "you " + 300 * "!" + "idiot", "you " + "!" * 10**6 + "moron" + "!" * 10**6, "idiot" + "x" * 10**5, "he said\xa0x \"moron\""]))
+    assert (long[:2, 0] > 0).all() and long[2, 0] > long[1, 0] and not long[3, :5].any() and long[4, 2] > 0
     none = spark.createDataFrame([], "text string, toxic int")
     assert {r.score for r in toxicity.score(docs, none, ["doc_id"]).collect()} == {0.0}
 

@@ -89,7 +89,6 @@ def test_pipeline_rows(spark, tmp_path):
     for s, t in targets(size).items():
         own = [got[i] for i, (x, _) in left.items() if x == s]
         assert all(r.source_size == size[s] and abs(r.target - t) < 1e-6 for r in own)
-        assert abs(sum(r.taken for r in own) - t) <= 2 * mixing.BLOCK_WORDS
-        blocks = -(-size[s] // mixing.BLOCK_WORDS)
-        whole, rest = divmod(round(t * blocks / size[s]), blocks)
+        assert sum(r.taken for r in own) == round(t)
+        whole, rest = divmod(round(t), size[s])
         assert all(whole * r["size"] <= r.taken <= (whole + (rest > 0)) * r["size"] for r in own)
