@@ -4,7 +4,8 @@ State is a folder of small tables, one for each committed batch, with signed sum
 an insert adds a document's tokens, a delete takes them away, a revision adds the difference. Totals are the sum over
 all batches, whatever the order of commits. A batch is written under a name of its own and renamed into place, which
 happens once: a batch delivered again is recognised and changes nothing, and one that broke off leaves no trace.
-``compact`` folds committed batches into one table and keeps their names.
+``compact`` folds committed batches into one table. What counts is said by the newest manifest alone - one base table, and the
+names of the batches in it - and a manifest comes in by one rename: a fold that breaks off at any step leaves the totals as they were.
 
 Defined results: null source or language is a group of its own; null text counts as empty (0 tokens); a null in op or tokens is
 an error; totals of 0 documents and 0 tokens are left out; repeated rows count each.
@@ -12,6 +13,7 @@ an error; totals of 0 documents and 0 tokens are left out; repeated rows count e
 
 from __future__ import annotations
 
+import json
 import uuid
 from collections.abc import Callable, Iterable
 
@@ -25,6 +27,8 @@ from tessera.llm.common import cut, documents, pieces, shared_dir, word_spans
 KEYS = ["source", "lang", "tokenizer"]
 SCHEMA = "source string, lang string, tokenizer string, docs long, tokens long"
 TOKENIZERS = "/opt/tokenizers"
+#: Fixed value: how the byte-level vocabulary's tokenizer splits text before merging.
+PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
 
 class TokenRollup:
@@ -38,13 +42,24 @@ class TokenRollup:
     def _at(self, *parts: str):
         return self._p("/".join([self.path, *parts]))
 
+    def _names(self, top: str) -> list[str]:
+        return sorted(s.getPath().getName() for s in self._fs.listStatus(self._at(top))) if self._fs.exists(self._at(top)) else []
+
+    def _manifest(self) -> tuple[int, str | None, set[str]]:
+        """(number, base table, batches folded into it) as the newest manifest has them."""
+        names = self._names("manifest")
+        if not names:
+            return 0, None, set()
+        stream = self._fs.open(self._at("manifest", names[-1]))
+        try:
+            about = json.loads(bytes(stream.readAllBytes()).decode())
+        finally:
+            stream.close()
+        return int(names[-1]), about["base"], set(about["folded"])
+
     def batches(self) -> list[str]:
         """Names of the committed batches, those that were folded included."""
-        out = set()
-        for top in ("batch", "folded"):
-            if self._fs.exists(self._at(top)):
-                out |= {s.getPath().getName() for s in self._fs.listStatus(self._at(top))}
-        return sorted(out)
+        return sorted(self._manifest()[2] | set(self._names("batch")))
 
     def commit(self, batch: str, changes: DataFrame) -> bool:
         """Apply changes (op, source, lang, tokenizer, tokens, old_tokens) once; False if batch was committed before.
@@ -67,26 +82,38 @@ class TokenRollup:
         return True
 
     def totals(self) -> DataFrame:
-        found = [f"{self.path}/{top}/*" for top in ("batch", "base") if self._fs.exists(self._at(top)) and len(self._fs.listStatus(self._at(top)))]
+        _, base, folded = self._manifest()
+        found = [f"{self.path}/batch/{n}" for n in self._names("batch") if n not in folded] + ([f"{self.path}/base/{base}"] if base else [])
         rows = self.spark.read.schema(SCHEMA).parquet(*found) if found else self.spark.createDataFrame([], SCHEMA)
         return rows.groupBy(*KEYS).agg(F.sum("docs").alias("docs"), F.sum("tokens").alias("tokens")).where("docs <> 0 OR tokens <> 0")
 
     def compact(self) -> None:
-        """Fold all committed batches into one table. One writer at a time."""
-        names = [s.getPath().getName() for s in self._fs.listStatus(self._at("batch"))] if self._fs.exists(self._at("batch")) else []
-        if not names:
-            return
-        old = [s.getPath().getName() for s in self._fs.listStatus(self._at("base"))] if self._fs.exists(self._at("base")) else []
-        tmp = uuid.uuid4().hex
-        self.totals().coalesce(1).write.parquet(f"{self.path}/tmp/{tmp}")
-        for top in ("base", "folded"):
-            self._fs.mkdirs(self._at(top))
-        self._fs.rename(self._at("tmp", tmp), self._at("base", tmp))
-        for n in old:
-            self._fs.delete(self._at("base", n), True)
-        for n in names:
-            self._fs.mkdirs(self._at("folded", n))
+        """Fold all committed batches into one table. One compacting writer at a time; commits may go on."""
+        number, base, folded = self._manifest()
+        names = set(self._names("batch"))
+        if names - folded:
+            tmp = uuid.uuid4().hex
+            read = [f"{self.path}/batch/{n}" for n in sorted(names - folded)] + ([f"{self.path}/base/{base}"] if base else [])
+            rows = self.spark.read.schema(SCHEMA).parquet(*read).groupBy(*KEYS).agg(F.sum("docs").alias("docs"), F.sum("tokens").alias("tokens"))
+            rows.coalesce(1).write.parquet(f"{self.path}/base/{tmp}")
+            number, base, folded = number + 1, tmp, folded | names
+            self._fs.mkdirs(self._at("manifest"))
+            self._fs.mkdirs(self._at("tmp"))
+            stream = self._fs.create(self._at("tmp", tmp))
+            try:
+                stream.write(bytearray(json.dumps({"base": base, "folded": sorted(folded)}).encode()))
+            finally:
+                stream.close()
+            if not self._fs.rename(self._at("tmp", tmp), self._at("manifest", f"{number:012d}")):
+                raise OSError("another writer was compacting")
+        # what nothing counts any more; a break here leaves it for the next time
+        for n in sorted(names & folded):
             self._fs.delete(self._at("batch", n), True)
+        for n in self._names("base"):
+            if n != base:
+                self._fs.delete(self._at("base", n), True)
+        for n in self._names("manifest")[:-1]:
+            self._fs.delete(self._at("manifest", n), True)
 
 
 # -- tokenizers ---------------------------------------------------------------------------------------
@@ -105,16 +132,12 @@ def bpe_counter(folder: str = TOKENIZERS, file: str = "byte_bpe_50k.tiktoken") -
     def count(column) -> np.ndarray:
         if (folder, file) not in _BPE:
             import base64
-            import importlib.util
 
             import tiktoken
 
-            spec = importlib.util.spec_from_file_location("vocabularies", f"{folder}/__init__.py")
-            about = importlib.util.module_from_spec(spec)
-            spec.loader.exec_module(about)
             with open(f"{folder}/{file}", "rb") as f:
                 ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
-            _BPE[folder, file] = tiktoken.Encoding(file, pat_str=about.PATTERN, mergeable_ranks=ranks, special_tokens={})
+            _BPE[folder, file] = tiktoken.Encoding(file, pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
         enc = _BPE[folder, file]
         return np.array([len(enc.encode_ordinary(v.as_py() or "")) for v in column], np.int64)
 
@@ -149,8 +172,8 @@ def maintained_totals(docs: DataFrame, tokenizers: dict[str, Callable], provisio
     return r.totals()
 
 
-def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return maintained_totals(documents(spark, sf_dir), {"words@1": count_words, "byte-bpe-50k@1": bpe_counter()})
+def query(spark: SparkSession, sf_dir: str, tokenizers: str = TOKENIZERS) -> DataFrame:
+    return maintained_totals(documents(spark, sf_dir), {"words@1": count_words, "byte-bpe-50k@1": bpe_counter(tokenizers)})
 
 
 def words_query(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -295,10 +295,60 @@ def test_rollup(spark, tmp_path):
     assert [tuple(x) for x in r.totals().collect()] == [("a", None, "t@1", 1, 9)]
 
 
+class BreaksOff:
+    """A file system that fails for good after some changes."""
+
+    def __init__(self, fs, left):
+        self.fs, self.left = fs, left
+
+    def __getattr__(self, name):
+        def call(*args):
+            if name in ("mkdirs", "create", "rename", "delete"):
+                if self.left == 0:
+                    raise OSError("broke off")
+                self.left -= 1
+            return getattr(self.fs, name)(*args)
+
+        return call
+
+
+def test_rollup_compaction_may_break_off_anywhere(spark, tmp_path):
+    rows = lambda n: spark.createDataFrame([("insert", "a", "en", "t@1", n, None)], "op string, source string, lang string, tokenizer string, tokens long, old_tokens long")
+    done = False
+    for k in range(30):
+        r = rollup.TokenRollup(spark, f"file://{tmp_path}/r{k}")
+        r.commit("b1", rows(1)), r.commit("b2", rows(10))
+        r.compact()
+        r.commit("b3", rows(100))
+        whole = r._fs
+        r._fs = BreaksOff(whole, k)
+        try:
+            r.compact()
+            done = True
+        except OSError:
+            pass
+        r._fs = whole
+        check = lambda n, t: [tuple(x) for x in r.totals().collect()] == [("a", "en", "t@1", n, t)]
+        assert check(3, 111) and r.batches() == ["b1", "b2", "b3"]
+        assert not r.commit("b3", rows(100)) and r.commit("b4", rows(1000))
+        r.compact(), r.compact()
+        assert check(4, 1111) and r._names("batch") == [] and len(r._names("base")) == 1 and not r.commit("b1", rows(1))
+        if done:
+            break
+    assert done and k > 3
+
+
 def test_token_counts_match_sql(spark):
     compare(spark, "token_counts_words")
 
 
+def test_bpe_counts_match_another_implementation(spark, docs, rows):
+    tokenizers = pytest.importorskip("tokenizers")
+    one = tokenizers.Tokenizer.from_file(f"{rollup.TOKENIZERS}/byte_bpe_50k.json")
+    got = {r.doc_id: r.tokens for r in rollup.token_counts(docs, {"b@1": rollup.bpe_counter()}).collect()}
+    assert got == {r[0]: len(one.encode(r[1] or "", add_special_tokens=False).ids) for r in rows}
+
+
 def test_pipeline(spark):
     sf = "/root/testdata/sf0.001"
     docs = spark.read.parquet(f"{sf}/documents.parquet")
