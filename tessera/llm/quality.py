@@ -1,16 +1,18 @@
 """Quality rules with risk-controlled thresholds.
 
-Every document gets a few statistics of its whole text. For each rule (a statistic that is higher for worse text) and
-each stratum, a cutoff is picked on the labelled rows so that, with confidence 1 - delta over all rules and strata
-together, at most ``alpha`` of the good documents of that stratum are rejected by any rule:
-
-* the share allowed to one rule is alpha / rules, so their union keeps alpha;
-* a cutoff passes if P(Binomial(good rows, alpha / rules) <= good rows rejected) <= delta / (rules x strata), the exact
-  binomial (Clopper-Pearson) test with Bonferroni's correction over rules and strata;
-* inside one rule and stratum the cutoffs are tested from the loosest to the strictest and testing stops at the first that
-  fails, so no further correction is needed for the number of cutoffs.
-
-A stratum with too few labels keeps its documents. Defined results: null or empty text has zero counts and fails the base
+Every document gets a few statistics of its whole text; a rule rejects what is above a cutoff. The cutoffs of all rules go from
+loose to strict together, in ``LEVELS`` levels fixed beforehand, so that what a level rejects by any rule is rejected by all later
+levels too. For each stratum (language) one level is picked on the labelled rows, so that with confidence 1 - delta over
+all strata together at most ``alpha`` of the good documents of a stratum that pass the base rule are rejected by any rule:
+
+* a level passes if P(Binomial(good rows, alpha) <= good rows rejected) <= delta / strata, the exact binomial (Clopper-Pearson)
+  test with Bonferroni's correction over strata;
+* inside a stratum levels are tested from the loosest, and testing stops at the first that fails, so no further correction is
+  needed for the number of levels (fixed-sequence testing; levels are nested).
+
+Strata with fewer good rows than even a level without a rejection would need are tested as one pooled stratum, and the guarantee is for
+them together; the table of levels marks them as pooled, and has a null level where nothing passed.
+A stratum without labels or level keeps its documents. Defined results: null or empty text has zero counts and fails the base
 rule; a null stratum is a stratum of its own; a document with several labels counts as good only if all of them say so;
 labels with null in either column are ignored; repeated rows are judged one by one; other columns are never read.
 """
@@ -34,24 +36,29 @@ _UPPER = np.isin(np.arange(256), range(65, 91))
 _LETTER = np.isin(np.arange(256), [*range(65, 91), *range(97, 123)])
 _MARK = np.isin(np.arange(256), list(b"!?;:~^_=+@\\/"))
 WINDOW = 8
-_GRID = tuple(round(0.02 * k, 2) for k in range(49, 0, -1))
+LEVELS = 16
+ALPHA, DELTA = 0.02, 0.05
 
 
 @dataclass(frozen=True)
 class Rule:
-    """A statistic as SQL over STATS; the higher, the worse. cutoffs: from the loosest."""
+    """A statistic as SQL over STATS; the higher, the worse. Its cutoffs fall from loosest to strictest by equal factors."""
 
     name: str
     value: str
-    cutoffs: tuple[float, ...] = _GRID
+    loosest: float
+    strictest: float
+
+    def cutoffs(self, levels: int = LEVELS) -> list[float]:
+        return [self.loosest * (self.strictest / self.loosest) ** (k / (levels - 1)) for k in range(levels)]
 
 
 RULES = (
-    Rule("symbols", "n_symbols / greatest(word_chars, 1)"),
-    Rule("dup_lines", "n_dup_lines / greatest(n_lines, 1)"),
-    Rule("repeats", "n_repeat_words / greatest(n_words, 1)"),
-    Rule("upper", "n_upper / greatest(n_letters, 1)"),
-    Rule("marks", "n_marks / greatest(word_chars, 1)"),
+    Rule("symbols", "n_symbols / greatest(word_chars, 1)", 0.4, 0.02),
+    Rule("dup_lines", "n_dup_lines / greatest(n_lines, 1)", 0.9, 0.25),
+    Rule("repeats", "n_repeat_words / greatest(n_words, 1)", 0.3, 0.15),
+    Rule("upper", "n_upper / greatest(n_letters, 1)", 0.9, 0.25),
+    Rule("marks", "n_marks / greatest(word_chars, 1)", 0.5, 0.05),
 )
 
 
@@ -135,8 +142,8 @@ def binomial_tail(k: int, n: int, p: float) -> float:
     return min(1.0, math.exp(most) * math.fsum(math.exp(t - most) for t in terms))
 
 
-def select_cutoff(rejected: list[int], good: int, alpha: float, delta: float) -> int:
-    """Index of the strictest cutoff that passes, -1 for none. rejected: good rows above each cutoff, from the loosest."""
+def select_level(rejected: list[int], good: int, alpha: float, delta: float) -> int:
+    """Index of the strictest level that passes, -1 for none. rejected: good rows that each level rejects, from the loosest."""
     best = -1
     for i, k in enumerate(rejected):
         if k > alpha * good or binomial_tail(k, good, alpha) > delta:
@@ -145,39 +152,44 @@ def select_cutoff(rejected: list[int], good: int, alpha: float, delta: float) ->
     return best
 
 
-def calibrate(stats: DataFrame, labels: DataFrame, stratum: str = "lang", rules=RULES, alpha: float = 0.05, delta: float = 0.05) -> DataFrame:
-    """A row for each stratum with labels: _stratum, and a column cut_<rule> (null: the rule rejects nothing there).
+def least_good(alpha: float, delta: float) -> int:
+    """Good rows that a level without a rejection needs to pass."""
+    return math.ceil(math.log(delta) / math.log1p(-alpha))
+
+
+def calibrate(stats: DataFrame, labels: DataFrame, stratum: str = "lang", rules=RULES, alpha: float = ALPHA, delta: float = DELTA) -> DataFrame:
+    """A row for each stratum with labels: _stratum, level (null: nothing is rejected there), pooled.
 
-    What moves is a histogram with a row for each stratum, rule and cutoff; labelled rows are never collected.
+    What moves is a histogram with a row for each stratum and level; labelled rows are never collected.
     """
     label = labels.where("doc_id IS NOT NULL AND quality IS NOT NULL").groupBy("doc_id").agg(F.min("quality").alias("_good"))
-    rows = stats.select("doc_id", F.col(stratum).alias("_stratum"), *(F.expr(r.value).alias(f"_v_{r.name}") for r in rules)).join(label.where("_good = 1"), "doc_id")
-    clear = lambda r: F.expr(f"size(filter(array({', '.join(f'{c}D' for c in r.cutoffs)}), c -> _v_{r.name} <= c))")
-    bins = F.array(*(F.struct(F.lit(i).alias("_rule"), clear(r).alias("_clear")) for i, r in enumerate(rules)))
-    hist = cut(rows.select("_stratum", F.inline(bins)).groupBy("_stratum", "_rule", "_clear").agg(F.count("*").alias("_n")))
-    strata = max(1, hist.select("_stratum").distinct().count())
+    cleared = lambda r: F.size(F.filter(F.array(*map(F.lit, r.cutoffs())), lambda c: F.expr(r.value) <= c))
+    rows = stats.where(~base_failed()).select("doc_id", F.col(stratum).alias("_stratum"), F.least(*map(cleared, rules)).alias("_clear")).join(label.where("_good = 1"), "doc_id")
+    hist = cut(rows.groupBy("_stratum", "_clear").agg(F.count("*").alias("_n")))
+    size = cut(hist.groupBy("_stratum").agg(F.sum("_n").alias("_of")))
+    share = delta / max(1, size.count())
+    size = size.withColumn("pooled", F.col("_of") < least_good(alpha, share)).withColumn("_name", F.when(~F.col("pooled"), F.col("_stratum")))
 
     def pick(key, pdf: pd.DataFrame) -> pd.DataFrame:
-        out = {"_stratum": [key[0]]}
-        for i, r in enumerate(rules):
-            own = pdf[pdf["_rule"] == i]
-            good = int(own["_n"].sum())
-            # cutoffs fall, so a value clears the first _clear of them
-            rejected = [int(own.loc[own["_clear"] <= c, "_n"].sum()) for c in range(len(r.cutoffs))]
-            at = select_cutoff(rejected, good, alpha / len(rules), delta / (len(rules) * strata))
-            out[f"cut_{r.name}"] = [r.cutoffs[at] if at >= 0 else None]
-        return pd.DataFrame(out).astype({f"cut_{r.name}": "float64" for r in rules})
+        # a row clears the first _clear levels
+        rejected = [int(pdf.loc[pdf["_clear"] <= k, "_n"].sum()) for k in range(LEVELS)]
+        at = select_level(rejected, int(pdf["_n"].sum()), alpha, share)
+        return pd.DataFrame({"_name": [key[0]], "pooled": [key[1]], "level": pd.array([at if at >= 0 else None], dtype="Int32")})
 
     kind = stats.schema[stratum].dataType.simpleString()
-    return cut(hist.groupBy("_stratum").applyInPandas(pick, f"_stratum {kind}, " + ", ".join(f"cut_{r.name} double" for r in rules)))
+    joined = hist.join(size, hist["_stratum"].eqNullSafe(size["_stratum"])).select("_name", "pooled", "_clear", "_n")
+    picked = joined.groupBy("_name", "pooled").applyInPandas(pick, f"_name {kind}, pooled boolean, level int").withColumnRenamed("_name", "_tested")
+    out = size.join(picked.withColumnRenamed("pooled", "_pooled"), (F.col("pooled") == F.col("_pooled")) & F.col("_name").eqNullSafe(F.col("_tested")))
+    return cut(out.select("_stratum", "level", "pooled"))
 
 
-def judge(stats: DataFrame, cutoffs: DataFrame, stratum: str = "lang", rules=RULES, prefix: str = "") -> DataFrame:
-    """Adds base_failed, kept and failed_rules. The cutoffs are one short row for each stratum."""
+def judge(stats: DataFrame, levels: DataFrame, stratum: str = "lang", rules=RULES, prefix: str = "") -> DataFrame:
+    """Adds base_failed, kept and failed_rules. levels: one short row for each stratum."""
     cols = stats.columns
     values = {r.name: F.expr(r.value if not prefix else _prefixed(r.value, prefix)) for r in rules}
-    failed = F.array_compact(F.array(*(F.when(values[r.name] > F.when(~F.isnan(f"cut_{r.name}"), F.col(f"cut_{r.name}")), F.lit(r.name)) for r in rules)))
-    out = stats.join(cutoffs, F.col(stratum).eqNullSafe(F.col("_stratum")), "left")
+    cutoff = lambda r: F.get(F.array(*map(F.lit, r.cutoffs())), F.col("level"))
+    failed = F.array_compact(F.array(*(F.when(values[r.name] > cutoff(r), F.lit(r.name)) for r in rules)))
+    out = stats.join(levels, F.col(stratum).eqNullSafe(F.col("_stratum")), "left")
     out = out.select(*(F.col(f"`{c}`") for c in cols), base_failed(prefix).alias("base_failed"), failed.alias("failed_rules"))
     return out.withColumn("kept", ~F.col("base_failed") & (F.size("failed_rules") == 0))
 
@@ -196,9 +208,9 @@ def quality_verdicts(docs: DataFrame, labels: DataFrame, **how) -> DataFrame:
 
 def keep_good(docs: DataFrame, labels: DataFrame, **how) -> DataFrame:
     """The rows of docs that are kept, with the columns of docs; the text is read twice and never shuffled."""
-    cutoffs = calibrate(cut(annotate(docs, ["doc_id", "lang"])), labels, **how)
+    levels = calibrate(cut(annotate(docs, ["doc_id", "lang"])), labels, **how)
     box, names = boxed(docs, "text", "lang")
-    judged = judge(annotate(box, [*names, "lang"], prefix="_q_"), cutoffs, prefix="_q_")
+    judged = judge(annotate(box, [*names, "lang"], prefix="_q_"), levels, prefix="_q_")
     return unboxed(judged.where("kept"), docs, names)
 
 

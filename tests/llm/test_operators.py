@@ -115,10 +115,41 @@ def test_quality(spark, docs, rows):
     assert quality.keep_good(docs, labels).columns == docs.columns
 
 
-def test_binomial_cutoffs():
+def test_binomial_levels():
     assert abs(quality.binomial_tail(1, 10, 0.1) - (0.9**10 + 10 * 0.1 * 0.9**9)) < 1e-12
-    assert quality.select_cutoff([0, 0, 5, 400], 1000, 0.05, 0.01) == 2
-    assert quality.select_cutoff([0, 0], 20, 0.05, 0.01) == -1
+    assert quality.select_level([0, 0, 5, 400], 1000, 0.05, 0.01) == 2
+    assert quality.select_level([0, 0], 20, 0.05, 0.01) == -1
+    n = quality.least_good(0.02, 0.01)
+    assert quality.select_level([0], n, 0.02, 0.01) == 0 and quality.select_level([0], n - 1, 0.02, 0.01) == -1
+
+
+def test_quality_levels_against_plain_python(spark):
+    rng, rows = random.Random(8), []
+    for i in range(1500):
+        lang = "aab"[i % 3] if i % 30 != 7 else ("c", None)[i % 60 == 7]  # c and null have too few rows
+        rows.append((i, words(rng, 40) + " " + "#" * rng.choice([0] * 40 + [1, 4, 40 if lang == "b" else 9]), lang))
+    rows += [(i, t, lang) for i, t, lang in rows[:40]]  # repeated rows
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    labels = spark.createDataFrame([(i, int(i % 4 > 0)) for i in range(1500)] + [(8, 1), (9, 0), (None, 1)], "doc_id long, quality int")
+    stats = quality.annotate(docs, ["doc_id", "lang"])
+    got = {r._stratum: (r.level, r.pooled) for r in quality.calibrate(stats, labels).collect()}
+
+    share = lambda t: t.count("#") / len(t.replace(" ", ""))
+    good = [(share(t), lang) for i, t, lang in rows if i % 4 and i != 9]
+    cutoffs = quality.RULES[0].cutoffs()
+    of = {k: [s for s, x in good if x == k] for k in ("a", "b", "c", None)}
+    small = [k for k, v in of.items() if len(v) < quality.least_good(quality.ALPHA, quality.DELTA / 4)]
+    assert small == ["c", None]
+    of_pool = [s for k in small for s in of[k]]
+    want = {}
+    for k, v in of.items():
+        v = of_pool if k in small else v
+        at = quality.select_level([sum(s > c for s in v) for c in cutoffs], len(v), quality.ALPHA, quality.DELTA / 4)
+        want[k] = (at if at >= 0 else None, k in small)
+    assert got == want and want["a"][0] is not None
+    kept = sorted((r.doc_id, r.kept) for r in quality.quality_verdicts(docs, labels).collect())
+    assert kept == sorted((i, want[lang][0] is None or share(t) <= cutoffs[want[lang][0]]) for i, t, lang in rows)
+    assert sorted(r.doc_id for r in quality.keep_good(docs, labels).collect()) == [i for i, k in kept if k]
 
 
 def test_mixing(docs, rows):
