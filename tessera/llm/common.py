@@ -23,6 +23,8 @@ _rng = np.random.Generator(np.random.PCG64(20240607))
 BYTE = _rng.integers(1, 2**63, 256, dtype=np.uint64) * U(2) + U(1)
 BYTE_LOWER = BYTE.copy()
 BYTE_LOWER[65:91] = BYTE[97:123]
+#: Random values of bytes for a second hash.
+BYTE_2 = _rng.integers(1, 2**63, 256, dtype=np.uint64) * U(2) + U(1)
 BASE = U(0x9E3779B97F4A7C15)
 BASE_INV = U(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 BLOCK = 1 << 19

@@ -6,7 +6,7 @@ That is the order of all suffixes cut off at LENGTH bytes, looked at for equal n
 1. Cover sample. Of each window of LENGTH bytes the GRAM-byte string with the least hash is its anchor. Two equal windows have
    their anchors at the same place, so - as with a difference cover - any two equal windows meet in a pair of sampled
    places at the same offset; there is an anchor for about (LENGTH - GRAM) / 2 bytes. An anchor is named by the hash of its gram,
-   and its context (all windows that it anchors) by a second hash.
+   and its context (all windows that it anchors) by a second, longer hash.
 2. Blocks. Anchors are dealt into suffix buckets by their gram; each task sorts one bucket at a time. An anchor whose gram is
    nowhere else is done. An anchor whose whole context stood earlier is done too: all its windows are repeats. This settles long
    ties, that is copies of any length and number, by sample names and without comparing text.
@@ -14,9 +14,11 @@ That is the order of all suffixes cut off at LENGTH bytes, looked at for equal n
    LENGTH - GRAM + 1) are named, dealt into buckets and sorted in the same way.
 4. The repeats of a document are merged, and cut out of it.
 
-Copies inside one map batch are settled there, so a context that half of the corpus repeats sends one row for each batch.
-Memory of a task: a batch, or a bucket of about ``BUCKET_ANCHORS`` anchors; rows of one bucket are bounded by the number
-of buckets, which follows the input. Names are 64-bit hashes.
+No name gathers more rows in a bucket than there are map batches. Copies inside one batch are settled there: of a context, or a window,
+that half of the corpus repeats each batch sends one row. Anchors whose gram has several contexts in their batch (a line in
+ever new surroundings) are known to be left over or repeats; they are dealt by their context, and only two of them go to the
+gram's bucket, to tell anchors of other batches. Memory of a task: a batch, or a bucket of about ``BUCKET_ANCHORS``
+anchors. Contexts and windows are named by 96 bits: at 3e12 anchors one false equality is expected in 10,000 runs.
 
 Defined results: null text is empty; texts under LENGTH bytes lose nothing; of documents with one id the order is that of
 their text, then that in which they are read; other columns are never read.
@@ -32,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm.common import BYTE, as_buffer, boxed, cut, documents, forget, mix, number, powers, trim, unboxed
+from tessera.llm.common import BYTE, BYTE_2, as_buffer, boxed, cut, documents, forget, mix, number, powers, trim, unboxed
 
 LENGTH, GRAM = 100, 32
 PIECE = 1 << 18
@@ -43,14 +45,17 @@ _PLACE = np.uint64((1 << 20) - 1)
 
 
 class Hashes:
-    """Hashes of all substrings of one buffer of up to two blocks."""
+    """Hashes of all substrings of one buffer of up to two blocks, of 64 bits and of 32 more."""
 
     def __init__(self, buf: np.ndarray):
         pw, self.inv = powers()
-        x = BYTE[buf]
-        x *= pw[: len(buf)]
-        self.acc = np.zeros(len(buf) + 1, np.uint64)
-        np.cumsum(x, out=self.acc[1:])
+        self.acc, self.acc_2 = self._sums(BYTE[buf], pw), self._sums(BYTE_2[buf], pw)
+
+    def _sums(self, x: np.ndarray, pw: np.ndarray) -> np.ndarray:
+        x *= pw[: len(x)]
+        acc = np.zeros(len(x) + 1, np.uint64)
+        np.cumsum(x, out=acc[1:])
+        return acc
 
     def all(self, length: int) -> np.ndarray:
         n = len(self.acc) - length
@@ -59,6 +64,9 @@ class Hashes:
     def of(self, begin: np.ndarray, end: np.ndarray, k: int = 0) -> np.ndarray:
         return mix((self.acc[end] - self.acc[begin]) * self.inv[begin] + (end - begin).astype(np.uint64), k)
 
+    def more(self, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
+        return (mix((self.acc_2[end] - self.acc_2[begin]) * self.inv[begin]) >> np.uint64(32)).astype(np.uint32)
+
 
 def _sliding_min(x: np.ndarray, w: int) -> np.ndarray:
     out, have = x, 1
@@ -69,11 +77,11 @@ def _sliding_min(x: np.ndarray, w: int) -> np.ndarray:
 
 
 def anchors(buf: np.ndarray, offs: np.ndarray, h: Hashes) -> tuple[np.ndarray, ...]:
-    """(document, first window, last window, anchor place, gram name, context name) of each anchor, in order. Places are in buf."""
+    """(document, first window, last window, anchor place, gram name, context name, more of it) of each anchor, in order. Places are in buf."""
     n = len(buf)
     if n < LENGTH:
         z = np.zeros(0, np.int64)
-        return z, z, z, z, z.astype(np.uint64), z.astype(np.uint64)
+        return z, z, z, z, z.astype(np.uint64), z.astype(np.uint64), z.astype(np.uint32)
     grams = h.all(GRAM)
     key = (grams & ~_PLACE) | np.arange(len(grams), dtype=np.uint64)
     low = (_sliding_min(key, LENGTH - GRAM + 1) & _PLACE).astype(np.int64)
@@ -85,7 +93,7 @@ def anchors(buf: np.ndarray, offs: np.ndarray, h: Hashes) -> tuple[np.ndarray, .
     stop = np.append(np.flatnonzero(new | ~valid), len(low))
     end = stop[np.searchsorted(stop, begin, "right")] - 1
     at = low[begin]
-    return doc[begin], begin, end, at, grams[at], h.of(begin, end + LENGTH, 1) + mix((at - begin).astype(np.uint64))
+    return doc[begin], begin, end, at, grams[at], h.of(begin, end + LENGTH, 1) + mix((at - begin).astype(np.uint64)), h.more(begin, end + LENGTH)
 
 
 def text_pieces(column):
@@ -120,14 +128,15 @@ def _blob(x: np.ndarray, kind) -> bytes:
     return np.ascontiguousarray(x, dtype=kind).tobytes()
 
 
-_ANCHOR = (("doc", "i8"), ("begin", "u4"), ("windows", "u1"), ("at", "u1"), ("gram", "u8"), ("context", "u8"))
-_WINDOW = (("doc", "i8"), ("begin", "u4"), ("gram", "u8"))
+#: several: the gram has several contexts in the batch. A row of no windows only tells that of its gram.
+_ANCHOR = (("doc", "i8"), ("begin", "u4"), ("windows", "u1"), ("at", "u1"), ("several", "u1"), ("gram", "u8"), ("context", "u8"), ("more", "u4"))
+_WINDOW = (("doc", "i8"), ("begin", "u4"), ("gram", "u8"), ("more", "u4"))
 
 
-def _deal(table: dict[str, np.ndarray], kinds, buckets: int):
-    """A row of packed columns for each bucket. Anchors have low names, being least of their window, so names are mixed again."""
-    b = ((mix(table["gram"], 1) >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)
-    order = np.lexsort((table["gram"], b))
+def _deal(table: dict[str, np.ndarray], kinds, buckets: int, by: np.ndarray):
+    """A row of packed columns for each bucket of the names by. Anchors have low names, being least of their window, so names are mixed again."""
+    b = ((mix(by, 1) >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)
+    order = np.lexsort((by, b))
     cols = {k: table[k][order] for k, _ in kinds}
     b = b[order]
     for i, j in zip(*_runs(b), strict=True):
@@ -176,19 +185,26 @@ def _batch_anchors(batches, buckets: int):
         table = {k: np.concatenate([np.zeros(0, t), *got[k]]) for k, t in _ANCHOR}
         for v in got.values():
             v.clear()
-        order = np.lexsort((table["begin"], table["doc"], table["context"]))
-        first = np.zeros(len(order), bool)
-        first[order[_first_of_equal(table["context"][order])]] = True
-        rows = list(_deal({k: v[first] for k, v in table.items()}, _ANCHOR, buckets))
+        order = np.lexsort((table["begin"], table["doc"], table["more"], table["context"], table["gram"]))
+        table = {k: v[order] for k, v in table.items()}
+        first = _first_of_equal(table["gram"], table["context"], table["more"])
+        again = {k: v[~first] for k, v in table.items()}
+        table = {k: v[first] for k, v in table.items()}
+        at, end = _runs(table["gram"])
+        table["several"] = np.repeat(end - at > 1, end - at).astype(np.uint8)
+        tell = np.concatenate([at[end - at > 1], at[end - at > 1] + 1])  # two contexts of each such gram
+        tell = {k: np.zeros_like(v[tell]) if k in ("windows", "several") else v[tell] for k, v in table.items()}
+        by = np.concatenate([np.where(table["several"] > 0, table["context"], table["gram"]), tell["gram"]])
+        rows = list(_deal({k: np.concatenate([v, tell[k]]) for k, v in table.items()}, _ANCHOR, buckets, by))
         if not first.all():
-            rows.append((-1, *(_blob(table[k][~first], t) for k, t in _ANCHOR)))
+            rows.append((-1, *(_blob(again[k], t) for k, t in _ANCHOR)))
         return _rows(rows, _ANCHOR)
 
     for b in batches:
         seq = b.column("seq").to_numpy()
         for buf, offs, row, place in text_pieces(b.column("text")):
-            part, begin, end, at, gram, context = anchors(buf, offs, Hashes(buf))
-            for (k, t), v in zip(_ANCHOR, (seq[row[part]], begin - offs[part] + place[part], end - begin + 1, at - begin, gram, context), strict=True):
+            part, begin, end, at, gram, context, more = anchors(buf, offs, Hashes(buf))
+            for (k, t), v in zip(_ANCHOR, (seq[row[part]], begin - offs[part] + place[part], end - begin + 1, at - begin, np.zeros(len(at)), gram, context, more), strict=True):
                 got[k].append(v.astype(t))
             n += len(part)
             if n >= FLUSH_ANCHORS:
@@ -213,13 +229,15 @@ def _sort_anchor_bucket(pdf: pd.DataFrame, parts: int) -> pd.DataFrame:
     t = _joined(pdf, _ANCHOR)
     if pdf["bucket"].iloc[0] < 0:
         return _repeat_rows(parts, (False, t))
-    order = np.lexsort((t["begin"], t["doc"], t["context"], t["gram"]))
+    order = np.lexsort((t["begin"], t["doc"], t["windows"] == 0, t["more"], t["context"], t["gram"]))
     t = {k: v[order] for k, v in t.items()}
     new_gram = _first_of_equal(t["gram"])
-    new = _first_of_equal(t["gram"], t["context"])
+    new = _first_of_equal(t["gram"], t["context"], t["more"])
     group = np.cumsum(new_gram) - 1
     contexts = np.bincount(group, weights=new) if len(group) else np.zeros(0)
-    rest = new & (contexts[group] > 1)
+    rest = new & ((contexts[group] > 1) | (t["several"] > 0))
+    own = t["windows"] > 0
+    t, new, rest = {k: v[own] for k, v in t.items()}, new[own], rest[own]
     return _repeat_rows(parts, *((o, {k: t[k][m] for k, _ in _SPAN}) for m, o in ((~new, False), (rest, True))))
 
 
@@ -234,7 +252,7 @@ def _of_documents(pdf: pd.DataFrame) -> pd.DataFrame:
 
 
 def _batch_windows(batches, buckets: int):
-    """Step 3 on Arrow batches of (seq, text, begin, windows): names of the windows that are left."""
+    """Step 3 on Arrow batches of (seq, text, begin, windows): names of the windows that are left; bucket -1 holds repeats that are known already."""
     got: dict[str, list] = {k: [] for k, _ in _WINDOW}
     total = 0
 
@@ -242,7 +260,13 @@ def _batch_windows(batches, buckets: int):
         table = {k: np.concatenate([np.zeros(0, t), *got[k]]) for k, t in _WINDOW}
         for v in got.values():
             v.clear()
-        return _rows(list(_deal(table, _WINDOW, buckets)), _WINDOW)
+        order = np.lexsort((table["begin"], table["doc"], table["more"], table["gram"]))
+        first = np.zeros(len(order), bool)
+        first[order[_first_of_equal(table["gram"][order], table["more"][order])]] = True
+        rows = list(_deal({k: v[first] for k, v in table.items()}, _WINDOW, buckets, table["gram"][first]))
+        if not first.all():
+            rows.append((-1, *(_blob(table[k][~first], t) for k, t in _WINDOW)))
+        return _rows(rows, _WINDOW)
 
     for b in batches:
         seq = b.column("seq").to_numpy()
@@ -257,7 +281,7 @@ def _batch_windows(batches, buckets: int):
                     continue
                 w = np.repeat(begin, n) + np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n)
                 at = w - s + offs[k]
-                for (c, t), v in zip(_WINDOW, (np.full(len(w), seq[r]), w, h.of(at, at + LENGTH)), strict=True):
+                for (c, t), v in zip(_WINDOW, (np.full(len(w), seq[r]), w, h.of(at, at + LENGTH), h.more(at, at + LENGTH)), strict=True):
                     got[c].append(v.astype(t))
                 total += len(w)
             if total >= FLUSH_WINDOWS:
@@ -271,8 +295,8 @@ def _batch_windows(batches, buckets: int):
 def _sort_window_bucket(pdf: pd.DataFrame, parts: int) -> pd.DataFrame:
     trim()
     t = _joined(pdf, _WINDOW)
-    order = np.lexsort((t["begin"], t["doc"], t["gram"]))
-    again = order[~_first_of_equal(t["gram"][order])]
+    order = np.lexsort((t["begin"], t["doc"], t["more"], t["gram"]))
+    again = order[~_first_of_equal(t["gram"][order], t["more"][order])] if pdf["bucket"].iloc[0] >= 0 else order
     return _repeat_rows(parts, (False, {"doc": t["doc"][again], "begin": t["begin"][again], "windows": np.ones(len(again), np.uint8)}))
 
 
@@ -299,13 +323,13 @@ def repeats(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     fields = "bucket int, " + ", ".join(f"{k} binary" for k, _ in _ANCHOR)
     dealt = numbered.select("seq", "text").mapInArrow(lambda it: _batch_anchors(it, buckets), fields)
     # repeats known already are many rows of one bucket: they need no sorting and go by document at once
-    salted = dealt.withColumn("salt", F.when(F.col("bucket") < 0, F.monotonically_increasing_id()).otherwise(F.lit(0)))
+    salted = lambda d: d.withColumn("salt", F.when(F.col("bucket") < 0, F.xxhash64("doc")).otherwise(F.lit(0)))
     sort = lambda pdf: _sort_anchor_bucket(pdf, buckets)
-    found = cut(salted.groupBy("bucket", "salt").applyInPandas(lambda _, pdf: sort(pdf), _REPEAT))
+    found = cut(salted(dealt).groupBy("bucket", "salt").applyInPandas(lambda _, pdf: sort(pdf), _REPEAT))
     lists = lambda d: d.select("part", *(k for k, _ in _SPAN)).groupBy("part").applyInPandas(_of_documents, "seq long, begin binary, windows binary")
     rest = numbered.select("seq", "text").join(lists(found.where("open")), "seq")
     windows = rest.mapInArrow(lambda it: _batch_windows(it, buckets), "bucket int, " + ", ".join(f"{k} binary" for k, _ in _WINDOW))
-    more = windows.groupBy("bucket").applyInPandas(lambda pdf: _sort_window_bucket(pdf, buckets), _REPEAT)
+    more = salted(windows).groupBy("bucket", "salt").applyInPandas(lambda _, pdf: _sort_window_bucket(pdf, buckets), _REPEAT)
     both = cut(lists(found.where("NOT open").unionAll(cut(more))))
     forget(found)
     return numbered, both

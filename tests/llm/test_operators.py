@@ -56,6 +56,21 @@ def test_suffix_dedup(docs, rows):
     assert kept.columns == docs.columns and {r.doc_id for r in kept.select("doc_id").collect()} >= {1, 4, 5, 13}
 
 
+def test_suffix_dedup_line_in_many_surroundings(spark, monkeypatch):
+    """A line and a window that most documents hold: exact results, and few rows of it in a bucket."""
+    rng = random.Random(9)
+    line, letters = "the same line of a hundred and thirty bytes, more or less, which is in every document of this table, whatever is around it, here", "abcdefghij"
+    noise = lambda n: "".join(rng.choice(letters) for _ in range(n))
+    texts = [noise(rng.randrange(0, 90)) + line + noise(rng.randrange(0, 160)) for _ in range(900)] + [noise(150), line, line[:110], line[5:115]]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(6)
+    got = {r.doc_id: tuple(r)[1:5] for r in suffixdedup.remove_repeats(docs, ["doc_id"], suffixdedup._report).collect()}
+    assert got == dict(enumerate(brute_repeats(texts)))
+    batch = pa.RecordBatch.from_pydict({"seq": pa.array(range(900), pa.int64()), "text": texts[:900]})
+    rows = [r for b in suffixdedup._batch_anchors(iter([batch]), 64) for r in b.to_pylist()]
+    most = max(len(r["begin"]) // 4 for r in rows if r["bucket"] >= 0)
+    assert most < 3 * sum(len(r["begin"]) // 4 for r in rows if r["bucket"] >= 0) / 64
+
+
 def test_suffix_dedup_repeated_ids(spark, docs, rows):
     twice = docs.where("doc_id <= 3").unionAll(docs.where("doc_id <= 3"))
     got = sorted((r.doc_id, r.n_removed == r.n_bytes) for r in suffixdedup.remove_repeats(twice, ["doc_id"], suffixdedup._report).collect())
