@@ -28,6 +28,8 @@ BYTE_2 = _rng.integers(1, 2**63, 256, dtype=np.uint64) * U(2) + U(1)
 BASE = U(0x9E3779B97F4A7C15)
 BASE_INV = U(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 BLOCK = 1 << 19
+#: A key, or a token, that fewer rows hold is never hot.
+HOT_ROWS = 1000
 #: Rows that go to a Python worker at once at most.
 BATCH_ROWS = 1000
 _BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
@@ -122,7 +124,7 @@ def spread_join(many: DataFrame, one: DataFrame, key: str, by: str, most: int =
     Keys with more than a most-th of the rows, of which there can't be more than most, are broadcast with a number of salts;
     their rows are dealt by a hash of column by, and one's rows are repeated for each salt.
     """
-    limit = max(1000, many.count() // most)
+    limit = max(HOT_ROWS, many.count() // most)
     hot = many.groupBy(key).agg(F.count("*").alias("_n")).where(F.col("_n") > limit).select(key, F.ceil(F.col("_n") / limit).cast("int").alias("_salts"))
     hot = F.broadcast(cut(hot))
     left = many.join(hot, key, "left").withColumn("_salt", F.coalesce(F.pmod(F.xxhash64(by), "_salts").cast("int"), F.lit(0))).drop("_salts")

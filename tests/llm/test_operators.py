@@ -10,7 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from tessera.llm import decontaminate, langid, licenses, mixing, ngramjoin, quality, rollup, suffixdedup, toxicity, urlgraph
+from tessera.llm import common, decontaminate, langid, licenses, mixing, ngramjoin, quality, rollup, suffixdedup, toxicity, urlgraph
 from tests.conftest import compare
 
 COLUMNS = "doc_id long, text string, lang string, source string, n_chars int, size long, kept string, seq string, row int, score int"
@@ -113,6 +113,29 @@ def test_ngram_join_group_of_near_copies(spark):
     assert [(r.n_shingles, r.component_id) for r in got] == want
 
 
+def test_ngram_join_hot_tokens(spark, monkeypatch):
+    """The same links with hot tokens and salted joins from a handful of rows on, a null id, and all copies of one."""
+    rng = random.Random(6)
+    line, texts = words(rng, 30), []
+    for g in range(12):
+        base = (line + " " + words(rng, 60, 10**6)).split()
+        for _ in range(12):
+            t = list(base)
+            for k in rng.sample(range(90), rng.randrange(0, 6)):
+                t[k] = f"z{rng.randrange(10**6)}"
+            texts.append(" ".join(t))
+    texts += [line, line, line + " x", None]
+    want = [(n, r) for n, r in brute_components(texts)]
+    monkeypatch.setattr(common, "HOT_ROWS", 20)
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    found = []
+    monkeypatch.setattr(ngramjoin, "hot_tokens", lambda *a, _real=ngramjoin.hot_tokens: found.append(_real(*a)) or found[-1])
+    got = ngramjoin.near_duplicates(docs).orderBy("doc_id").collect()
+    assert [(r.n_shingles, r.component_id) for r in got] == want and len(found[0].tokens) >= 26
+    some = spark.createDataFrame([(None, texts[0]), (5, texts[0]), (3, texts[0]), (None, "nothing else has these words")], "doc_id long, text string")
+    assert sorted(map(str, (r.component_id for r in ngramjoin.near_duplicates(some).collect()))) == ["3", "3", "3", "None"]
+
+
 def test_quality(spark, docs, rows):
     labels = spark.createDataFrame([(1, 1, 0), (2, None, 0), (None, 1, 1), (6, 0, 0)], "doc_id long, quality int, toxic int")
     got = {r.doc_id: r for r in quality.quality_verdicts(docs, labels).collect()}
