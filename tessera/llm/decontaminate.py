@@ -30,6 +30,8 @@ MISS = 1.5
 MIN_WORDS, MIN_SHARE = 13, 0.6
 MAX_KEYS = 1_000_000
 _BITS = 20
+#: Hits of seeds that are looked at together.
+_HITS = 1_000_000
 _SHORT = min(map(len, MASKS))
 
 
@@ -98,19 +100,27 @@ def leaks(column, items: Items, min_words: int = MIN_WORDS, min_share: float = M
     for i0, _, buf, offs in pieces(column):
         starts, ends, first = word_spans(buf, offs)
         h = word_hashes(buf, starts, ends, lower=True)
-        diagonals: set[tuple[int, int, int]] = set()
+        found = [np.zeros(0, np.int64)]  # diagonals: the item's word 0 stands at the text's word shift
+        least, span = -int(np.diff(items.first).max(initial=0)), len(h) + int(np.diff(items.first).max(initial=0)) + 1
         for m, mask in items.masks:
             k = seed_keys(h, mask, m)
             p = np.flatnonzero(items.seen[(k & np.uint64((1 << _BITS) - 1)).astype(np.int64)])
             lo, hi = np.searchsorted(items.keys, k[p], "left"), np.searchsorted(items.keys, k[p], "right")
-            hit = hi > lo
-            p, lo, hi = p[hit], lo[hit], hi[hit]
             doc = np.searchsorted(first, p, "right") - 1
-            inside = p + len(mask) <= first[doc + 1]
-            for d, q, a, b in zip(doc[inside].tolist(), p[inside].tolist(), lo[inside].tolist(), hi[inside].tolist(), strict=True):
-                diagonals.update((d, int(items.item[x]), q - int(items.at[x])) for x in range(a, b))
+            ok = (hi > lo) & (p + len(mask) <= first[doc + 1])
+            p, lo, doc, n = p[ok], lo[ok], doc[ok], (hi - lo)[ok]
+            sums = np.cumsum(n)
+            i = 0
+            while i < len(p):  # so many places at once that their hits stay bounded
+                j = max(i + 1, int(np.searchsorted(sums, (sums[i - 1] if i else 0) + _HITS, "right")))
+                x = np.repeat(lo[i:j] - np.cumsum(n[i:j]) + n[i:j], n[i:j]) + np.arange(int(n[i:j].sum()))
+                shift = np.repeat(p[i:j], n[i:j]) - items.at[x]
+                found.append(np.unique((np.repeat(doc[i:j], n[i:j]) * len(items.ids) + items.item[x]) * span + shift - least))
+                i = j
+        diagonals = np.unique(np.concatenate(found))
+        pair, shifts = np.divmod(diagonals, span)
         best: dict[tuple[int, int], tuple[int, int, int]] = {}
-        for d, i, shift in diagonals:  # the item's word 0 stands at the document's word shift
+        for d, i, shift in zip(*(v.tolist() for v in np.divmod(pair, max(1, len(items.ids)))), (shifts + least).tolist(), strict=True):
             words = items.words[items.first[i] : items.first[i + 1]]
             lo, hi = max(int(first[d]), shift), min(int(first[d + 1]), shift + len(words))
             n, b, e = best_run(h[lo:hi] == words[lo - shift : hi - shift])
