@@ -201,3 +201,10 @@ def digest(docs: DataFrame) -> DataFrame:
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return digest(documents(spark, sf_dir))
+
+
+def targets_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What query gives without the draws: doc_id, size, source_size, target."""
+    size = sizes(documents(spark, sf_dir))
+    t = targets(size).withColumnRenamed("source", "_s")
+    return size.join(t, F.col("source").eqNullSafe(F.col("_s"))).select("doc_id", "size", "source_size", "target")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tessera.llm import decontaminate, langid, licenses, mixing, ngramjoin, quality, rollup, suffixdedup, toxicity, urlgraph
+from tessera.llm import decontaminate, langid, licenses, mixing, ngramjoin, oracles, quality, rollup, suffixdedup, toxicity, urlgraph
 
 
 def queries():
@@ -18,8 +18,17 @@ def queries():
         "op9_source_mixing": mixing.query,
         "op10_license_scan": licenses.query,
         "token_counts_words": rollup.words_query,
+        "mixing_targets": mixing.targets_query,
     }
 
 
 def oracle_sql():
-    return {"token_counts_words": rollup.WORDS_SQL}
+    return {
+        "op1_quality_rules": oracles.QUALITY,
+        "op2_suffix_dedup": oracles.SUFFIX,
+        "op5_url_filters": oracles.URLS,
+        "op7_ngram_jaccard_join": oracles.JOIN,
+        "op10_license_scan": oracles.LICENSES,
+        "token_counts_words": rollup.WORDS_SQL,
+        "mixing_targets": oracles.TARGETS,
+    }

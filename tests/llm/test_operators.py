@@ -10,7 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from tessera.llm import common, decontaminate, langid, licenses, mixing, ngramjoin, quality, rollup, suffixdedup, toxicity, urlgraph
+from tessera.llm import common, decontaminate, langid, licenses, mixing, ngramjoin, quality, registry, rollup, suffixdedup, toxicity, urlgraph
 from tests.conftest import compare
 
 COLUMNS = "doc_id long, text string, lang string, source string, n_chars int, size long, kept string, seq string, row int, score int"
@@ -327,6 +327,44 @@ def test_language(spark, docs):
     assert langid.learn(docs.limit(0), F.lit(False)) == {}
 
 
+def test_language_against_plain_compression(spark):
+    import zstandard
+
+    rng = random.Random(12)
+    vocab = {k: [f"{k}{rng.randrange(10**4)}" for _ in range(60)] for k in "xyz"}
+    texts = [" ".join(rng.choice(vocab[k]) for _ in range(rng.randrange(1, 80))) for k in "xyz" * 12] + ["x", "7 8 9", "a\n" * 50_000, None]
+    dicts = {k: " ".join(vocab[k] * 3).encode() for k in "zyx"} | {"x2": " ".join(vocab["x"] * 3).encode()}  # x and x2 tie
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r for r in langid.classify(docs, dicts, ["doc_id"]).collect()}
+    for i, t in enumerate(texts):
+        if not t or not any(map(str.isalpha, t)):
+            assert (got[i].lang_pred, got[i].score, got[i].accepted) == ("und", 0.0, False)
+            continue
+        n = {}
+        for k, v in dicts.items():
+            d = zstandard.ZstdCompressionDict(v, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+            d.precompute_compress(level=langid.LEVEL)
+            n[k] = len(zstandard.ZstdCompressor(level=langid.LEVEL, dict_data=d, write_checksum=False, write_content_size=False, write_dict_id=False).compress(t.encode()))
+        best = min(sorted(n), key=n.get)
+        second = min(v for k, v in n.items() if k != best)
+        assert got[i].lang_pred == best and abs(got[i].score - min(1.0, 4 * (second - n[best]) / second)) < 1e-12
+        assert got[i].accepted == ((second - n[best]) / second >= 0.02)
+    assert {got[i].lang_pred for i in range(0, 36, 3)} == {"x"} and not any(got[i].accepted for i in range(0, 36, 3))
+
+
+def test_held_out_rows(spark):
+    """Predictions on rows that nothing was learned from."""
+    sf = "/root/testdata/sf0.01"
+    truth = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "lang")
+    rows = langid.query(spark, sf).where("held_out AND lang_pred <> 'und'").join(truth, "doc_id").where("lang IS NOT NULL").collect()
+    assert len(rows) > 150 and sum(r.lang == r.lang_pred for r in rows) > 0.9 * len(rows)
+    sf = "/root/testdata/sf0.1"  # toxic texts are few
+    labels = spark.read.parquet(f"{sf}/labels.parquet").select("doc_id", "toxic")
+    rows = toxicity.query(spark, sf).where("held_out").join(labels, "doc_id").collect()
+    one, two = ([r.score for r in rows if r.toxic == k] for k in (1, 0))
+    assert one and two and sum((a > b) + (a == b) / 2 for a in one for b in two) > 0.95 * len(one) * len(two)
+
+
 def test_language_sample_is_filled(spark):
     rng, size = random.Random(2), 2000
     texts = [("few", words(rng, 20_000)) for _ in range(5)] + [("one", words(rng, 20_000)), ("small", "only this"), ("small", "and that")]
@@ -407,8 +445,9 @@ def test_rollup_compaction_may_break_off_anywhere(spark, tmp_path):
     assert done and k > 3
 
 
-def test_token_counts_match_sql(spark):
-    compare(spark, "token_counts_words")
+@pytest.mark.parametrize("name", sorted(registry.oracle_sql()))
+def test_matches_sql(spark, name):
+    compare(spark, name)
 
 
 def test_bpe_counts_match_another_implementation(spark, docs, rows):
@@ -429,7 +468,41 @@ def test_pipeline(spark):
     assert 0 < n < docs.count() and corpus_pipeline.run(spark, sf).count() == n
 
 
-def test_empty_tables(spark, docs):
-    none = docs.limit(0)
+def test_empty_tables(spark, docs, tmp_path):
+    none, no_labels = docs.limit(0), spark.createDataFrame([], "doc_id long, quality int, toxic int")
+    bench, pages = spark.createDataFrame([(1, "a b c")], "item_id long, text string"), spark.createDataFrame([], "page_id long, url string, html string")
+    assert quality.quality_verdicts(none, no_labels).count() == 0 and quality.keep_good(none, no_labels).columns == docs.columns
+    assert quality.calibrate(quality.annotate(none, ["doc_id", "lang"]), no_labels).count() == 0
     assert suffixdedup.remove_repeats(none, ["doc_id"], suffixdedup._report).count() == 0
+    assert langid.classify(none, langid.learn(none, F.lit(False)), ["doc_id"]).count() == 0
+    assert {r.lang_pred for r in langid.classify(docs, {}, ["doc_id"]).collect()} == {"und"}
+    assert decontaminate.find(none, bench).count() == 0 and decontaminate.clean(docs, bench.limit(0)).count() == docs.count()
+    assert urlgraph.judge(pages).count() == 0
+    assert toxicity.score(none, toxicity.labelled_sample(none, no_labels, F.lit(False)), ["doc_id"]).count() == 0
     assert ngramjoin.near_duplicates(none).count() == 0 and mixing.digest(none).count() == 0 and licenses.scan_licenses(none).count() == 0
+    assert rollup.maintained_totals(none, {"w@1": rollup.count_words}).count() == 0
+
+
+def test_clashing_columns_long_pages_and_ties(spark, docs):
+    """Columns named like those that operators make, a page of megabytes, repeated rows."""
+    link = '<a href="http://b.org/">x</a>'
+    pages = [(1, "http://a.com/", link * 40_000, "h", "p", 1.0, "r"), (1, "http://a.com/", link * 40_000, "h", "p", 1.0, "r"), (2, "http://b.org/", None, None, None, None, None)]
+    judged = urlgraph.judge(spark.createDataFrame(pages, "page_id long, url string, html string, host string, path string, trust double, rule string")).collect()
+    assert sorted((r.page_id, r.host, r.verdict) for r in judged) == [(1, "a.com", "allow"), (1, "a.com", "allow"), (2, "b.org", "allow")]
+    assert abs(next(r.trust for r in judged if r.page_id == 2) - 0.85 * 0.15) < 1e-12
+    more = docs.withColumns({"tokens": F.lit("t"), "tokenizer": F.lit(1), "old_tokens": F.lit(2), "op": F.lit(3), "lang_pred": F.lit(4), "held": F.lit(5), "_q_n_words": F.lit(6), "repeated": F.lit(7)})
+    totals = {(r.source, r.lang): (r.docs, r.tokens) for r in rollup.maintained_totals(more.unionAll(more), {"w@1": rollup.count_words}).collect()}
+    want = {}
+    for r in docs.collect():
+        n = len(re.findall(r"[^\x20\x09-\x0D]+", r.text or ""))
+        if n:
+            a, b = want.get((r.source, r.lang), (0, 0))
+            want[r.source, r.lang] = (a + 2, b + 2 * n)
+    assert totals == want
+    labels = spark.createDataFrame([(1, 1, 0), (1, 1, 0)], "doc_id long, quality int, toxic int")
+    assert quality.keep_good(more, labels).columns == more.columns and suffixdedup.deduplicate(more).columns == more.columns
+    assert ngramjoin.one_of_each(more).columns == more.columns
+    assert langid.classify(more, {"en": b"a b c", "fr": b"a b c"}, ["doc_id"]).where("lang_pred = 'fr'").count() == 0
+    assert toxicity.score(more, spark.createDataFrame([("you idiot", 1)] * 3 + [("you dear", 0)] * 3, "text string, toxic int"), ["doc_id"]).count() == docs.count()
+    assert decontaminate.clean(more, spark.createDataFrame([(1, "two one")], "item_id long, text string")).columns == more.columns
+    assert mixing.digest(more).count() == licenses.scan_licenses(more).count() == docs.count()
