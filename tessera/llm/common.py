@@ -118,18 +118,19 @@ def forget(df: DataFrame) -> None:
             p.getFileSystem(sc._jsc.hadoopConfiguration()).delete(p, True)
 
 
-def spread_join(many: DataFrame, one: DataFrame, key: str, by: str, most: int = 100_000) -> DataFrame:
+def spread_join(many: DataFrame, one: DataFrame, key: str | list[str], by: str, most: int = 100_000) -> DataFrame:
     """Inner join of many (a table that can be read twice) with one, which has few rows for each key; a key may hold any share of many's rows.
 
     Keys with more than a most-th of the rows, of which there can't be more than most, are broadcast with a number of salts;
     their rows are dealt by a hash of column by, and one's rows are repeated for each salt.
     """
+    key = [key] if isinstance(key, str) else key
     limit = max(HOT_ROWS, many.count() // most)
-    hot = many.groupBy(key).agg(F.count("*").alias("_n")).where(F.col("_n") > limit).select(key, F.ceil(F.col("_n") / limit).cast("int").alias("_salts"))
+    hot = many.groupBy(*key).agg(F.count("*").alias("_n")).where(F.col("_n") > limit).select(*key, F.ceil(F.col("_n") / limit).cast("int").alias("_salts"))
     hot = F.broadcast(cut(hot))
     left = many.join(hot, key, "left").withColumn("_salt", F.coalesce(F.pmod(F.xxhash64(by), "_salts").cast("int"), F.lit(0))).drop("_salts")
     right = one.join(hot, key, "left").withColumn("_salt", F.explode(F.sequence(F.lit(0), F.coalesce("_salts", F.lit(1)) - 1))).drop("_salts")
-    return left.join(right, [key, "_salt"]).drop("_salt")
+    return left.join(right, [*key, "_salt"]).drop("_salt")
 
 
 def boxed(docs: DataFrame, *own: str) -> tuple[DataFrame, list[str]]:

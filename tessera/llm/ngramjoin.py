@@ -435,7 +435,8 @@ def classes_of(docs: DataFrame) -> DataFrame:
     label = cut(link_components(prefixes, fewer))
     forget(fewer)
     known = classes.join(label.withColumnRenamed("node", "first"), "first", "left").select(*key, F.coalesce("component", "first").alias("component"))
-    return signed.join(known, key, "left").select("seq", "n_shingles", F.coalesce("component", "seq").alias("component"))
+    out = spread_join(signed.where("n_shingles > 0"), known, key, "seq").select("seq", "n_shingles", "component")
+    return out.unionAll(signed.where("n_shingles = 0").select("seq", "n_shingles", "seq"))
 
 
 def one_of_each(docs: DataFrame) -> DataFrame:
