@@ -197,7 +197,7 @@ def _batch_anchors(batches, buckets: int):
         by = np.concatenate([np.where(table["several"] > 0, table["context"], table["gram"]), tell["gram"]])
         rows = list(_deal({k: np.concatenate([v, tell[k]]) for k, v in table.items()}, _ANCHOR, buckets, by))
         if not first.all():
-            rows.append((-1, *(_blob(again[k], t) for k, t in _ANCHOR)))
+            rows.append((-1, *(_blob(again[k], t) if k in _NEEDED else b"" for k, t in _ANCHOR)))
         return _rows(rows, _ANCHOR)
 
     for b in batches:
@@ -216,6 +216,19 @@ def _batch_anchors(batches, buckets: int):
 
 
 _SPAN = (("doc", "i8"), ("begin", "u4"), ("windows", "u1"))
+_NEEDED = {k for k, _ in _SPAN}
+
+
+def _in_spans(doc: np.ndarray, begin: np.ndarray) -> dict[str, np.ndarray]:
+    """Windows as spans of up to 255 that begin one after the other."""
+    order = np.lexsort((begin, doc))
+    doc, begin = doc[order], begin[order].astype(np.int64)
+    new = np.ones(len(doc), bool)
+    new[1:] = (doc[1:] != doc[:-1]) | (begin[1:] != begin[:-1] + 1)
+    at = np.flatnonzero(new)
+    place = np.arange(len(doc)) - np.repeat(at, np.diff(np.append(at, len(doc)))[: len(at)]) if len(at) else np.zeros(0, np.int64)
+    at = np.flatnonzero(place % 255 == 0)
+    return {"doc": doc[at], "begin": begin[at].astype(np.uint32), "windows": np.diff(np.append(at, len(doc)))[: len(at)].astype(np.uint8)}
 _REPEAT = "open boolean, part int, doc binary, begin binary, windows binary"
 
 
@@ -226,9 +239,9 @@ def _repeat_rows(parts: int, *tables: tuple[bool, dict[str, np.ndarray]]) -> pd.
 def _sort_anchor_bucket(pdf: pd.DataFrame, parts: int) -> pd.DataFrame:
     """Step 2: repeats (open false), and what is left for step 3 (open true)."""
     trim()
-    t = _joined(pdf, _ANCHOR)
     if pdf["bucket"].iloc[0] < 0:
-        return _repeat_rows(parts, (False, t))
+        return _repeat_rows(parts, (False, _joined(pdf, _SPAN)))
+    t = _joined(pdf, _ANCHOR)
     order = np.lexsort((t["begin"], t["doc"], t["windows"] == 0, t["more"], t["context"], t["gram"]))
     t = {k: v[order] for k, v in t.items()}
     new_gram = _first_of_equal(t["gram"])
@@ -264,8 +277,9 @@ def _batch_windows(batches, buckets: int):
         first = np.zeros(len(order), bool)
         first[order[_first_of_equal(table["gram"][order], table["more"][order])]] = True
         rows = list(_deal({k: v[first] for k, v in table.items()}, _WINDOW, buckets, table["gram"][first]))
-        if not first.all():
-            rows.append((-1, *(_blob(table[k][~first], t) for k, t in _WINDOW)))
+        if not first.all():  # as spans, the counts in place of the names
+            spans = _in_spans(table["doc"][~first], table["begin"][~first])
+            rows.append((-1, *(_blob(spans[k], t) for k, t in _SPAN), b""))
         return _rows(rows, _WINDOW)
 
     for b in batches:
@@ -294,10 +308,12 @@ def _batch_windows(batches, buckets: int):
 
 def _sort_window_bucket(pdf: pd.DataFrame, parts: int) -> pd.DataFrame:
     trim()
+    if pdf["bucket"].iloc[0] < 0:
+        return _repeat_rows(parts, (False, _joined(pdf.rename(columns={"gram": "windows"}), _SPAN)))
     t = _joined(pdf, _WINDOW)
     order = np.lexsort((t["begin"], t["doc"], t["more"], t["gram"]))
-    again = order[~_first_of_equal(t["gram"][order], t["more"][order])] if pdf["bucket"].iloc[0] >= 0 else order
-    return _repeat_rows(parts, (False, {"doc": t["doc"][again], "begin": t["begin"][again], "windows": np.ones(len(again), np.uint8)}))
+    again = order[~_first_of_equal(t["gram"][order], t["more"][order])]
+    return _repeat_rows(parts, (False, _in_spans(t["doc"][again], t["begin"][again])))
 
 
 def merge_spans(begin: np.ndarray, windows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -319,7 +335,7 @@ def repeats(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     spark = docs.sparkSession
     numbered, _ = number(docs)
     size = numbered.agg(F.sum(F.octet_length("text")).alias("n")).first()["n"] or 0
-    buckets = max(8, int(size / ((LENGTH - GRAM + 1) / 2) / BUCKET_ANCHORS) + 1)
+    buckets = max(64, int(size / ((LENGTH - GRAM + 1) / 2) / BUCKET_ANCHORS) + 1)
     fields = "bucket int, " + ", ".join(f"{k} binary" for k, _ in _ANCHOR)
     dealt = numbered.select("seq", "text").mapInArrow(lambda it: _batch_anchors(it, buckets), fields)
     # repeats known already are many rows of one bucket: they need no sorting and go by document at once
