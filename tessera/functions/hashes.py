@@ -48,20 +48,19 @@ def parse_int(s: Column) -> Column:
     return sign * F.coalesce(of(16, "[0-9a-f]"), of(8, "[0-7]"), of(2, "[01]"), F.when(body.rlike("^([1-9][0-9]*|0+)$"), body.try_cast("long")))
 
 
+def xtea(data: bytes, key: bytes) -> bytes:
+    """Blocks of eight bytes deciphered by 32 rounds of XTEA under a key of 16 bytes; bytes after the last block stay."""
+    whole = len(data) // 8 * 8
+    v, ks = np.frombuffer(data[:whole], ">u4").astype(np.uint32).reshape(-1, 2), [int(x) for x in np.frombuffer(key, ">u4")]
+    a, b, total = v[:, 0].copy(), v[:, 1].copy(), (0x9E3779B9 * 32) & 0xFFFFFFFF
+    for _ in range(32):
+        b -= (((a << np.uint32(4)) ^ (a >> np.uint32(5))) + a) ^ np.uint32((total + ks[(total >> 11) & 3]) & 0xFFFFFFFF)
+        total = (total - 0x9E3779B9) & 0xFFFFFFFF
+        a -= (((b << np.uint32(4)) ^ (b >> np.uint32(5))) + b) ^ np.uint32((total + ks[total & 3]) & 0xFFFFFFFF)
+    return np.stack([a, b], 1).astype(">u4").tobytes() + data[whole:]
+
+
 @F.pandas_udf(BinaryType())
 def xtea_decrypt(data: pd.Series, key: pd.Series) -> pd.Series:
-    """Blocks of eight bytes through 32 rounds of XTEA under a key of 16 bytes; bytes after the last block stay."""
-
-    def one(d: bytes | None, k: bytes | None) -> bytes | None:
-        if d is None or k is None:
-            return None
-        whole = len(d) // 8 * 8
-        v, ks = np.frombuffer(d[:whole], ">u4").astype(np.uint32).reshape(-1, 2), [int(x) for x in np.frombuffer(k, ">u4")]
-        a, b, total = v[:, 0].copy(), v[:, 1].copy(), (0x9E3779B9 * 32) & 0xFFFFFFFF
-        for _ in range(32):
-            b -= (((a << np.uint32(4)) ^ (a >> np.uint32(5))) + a) ^ np.uint32((total + ks[(total >> 11) & 3]) & 0xFFFFFFFF)
-            total = (total - 0x9E3779B9) & 0xFFFFFFFF
-            a -= (((b << np.uint32(4)) ^ (b >> np.uint32(5))) + b) ^ np.uint32((total + ks[total & 3]) & 0xFFFFFFFF)
-        return np.stack([a, b], 1).astype(">u4").tobytes() + d[whole:]
-
-    return pd.Series([one(d, k) for d, k in zip(data, key, strict=True)], dtype=object)
+    """xtea of each row; null where either is."""
+    return pd.Series([None if d is None or k is None else xtea(d, k) for d, k in zip(data, key, strict=True)], dtype=object)

@@ -29,16 +29,16 @@ def low_name(s: Column) -> Column:
 
 
 def requirement_list(s: Column) -> Column:
-    """A ;-list of digits with each part trimmed; empty stays empty, another part is an error."""
+    """A ;-list of digits with each part trimmed; empty stays empty and null null, another part is an error."""
     parts = F.transform(F.split(s, ";"), lambda p: F.trim(p))
     ok = F.forall(parts, lambda p: p.rlike("^[0-9]+$"))
-    return F.when(F.trim(s) == "", "").when(ok, F.array_join(parts, ";")).otherwise(F.raise_error(F.concat(F.lit("not a requirement list: "), s)))
+    return F.when(s.isNull(), s).when(F.trim(s) == "", "").when(ok, F.array_join(parts, ";")).otherwise(F.raise_error(F.concat(F.lit("not a requirement list: "), s)))
 
 
 def to_integer(s: Column) -> Column:
-    """Text of a sheet cell as a long: yes/true 1, no/false 0, numbers rounded half away from zero; else null."""
+    """Text of a sheet cell as a long: yes, y, on and true 1, no, n, off and false 0, numbers rounded half away from zero; else null."""
     t = F.lower(F.trim(s))
-    return F.when(t.isin("true", "yes", "y"), 1).when(t.isin("false", "no", "n"), 0).otherwise(F.round(t.try_cast("decimal(38,6)")).cast("long")).cast("long")
+    return F.when(t.isin("true", "yes", "y", "on"), 1).when(t.isin("false", "no", "n", "off"), 0).otherwise(F.round(t.try_cast("decimal(38,6)")).cast("long")).cast("long")
 
 
 def int32(x: Column) -> Column:

@@ -36,6 +36,19 @@ def version_history(rows: DataFrame, key: str, order: list[str], value: str) ->
     return r.groupBy(key, "run").agg(F.min(value).alias(value), F.min("_pos").alias("first_pos"), F.max("_pos").alias("last_pos"), F.count("*").alias("n"))
 
 
+def file_history(rows: DataFrame, versions: DataFrame, key: str, version: str, value: str) -> DataFrame:
+    """Runs of equal values of a file over all versions: key, run, value, versions (in order). A version without the file ends a run.
+
+    rows: key, version, value; versions: version, all there are, in their order.
+    """
+    numbered = running_total(versions.select(version).distinct(), [version], F.lit(1), "_at")
+    w = Window.partitionBy(key).orderBy("_at")
+    r = rows.join(numbered, version)
+    same = F.col(value).eqNullSafe(F.lag(value).over(w)) & (F.col("_at") == F.lag("_at").over(w) + 1)
+    r = r.withColumn("_new", F.when(F.coalesce(same, F.lit(False)), 0).otherwise(1)).withColumn("run", F.sum("_new").over(w))
+    return r.groupBy(key, "run").agg(F.min(value).alias(value), F.array_sort(F.collect_list(version)).alias("versions"))
+
+
 def as_of(rows: DataFrame, order: list[str], is_request, is_response, group: str) -> DataFrame:
     """Each response with the id of the last request of its group before it (event_id, request_id)."""
     w = Window.partitionBy(group).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)

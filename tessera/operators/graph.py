@@ -20,17 +20,38 @@ def closure(edges: DataFrame, roots: DataFrame) -> DataFrame:
     return seen
 
 
-def propagate_labels(nodes: DataFrame, edges: DataFrame) -> DataFrame:
-    """node, label: the least label of what is connected to it. nodes: node, label or null; edges count both ways."""
-    both = edges.select("src", "dst").unionAll(edges.select(F.col("dst").alias("src"), F.col("src").alias("dst"))).distinct()
-    state, before = cut(nodes.select("node", "label")), None
+def components(edges: DataFrame) -> DataFrame:
+    """node, root (the least node connected to it) of all nodes of edges (src, dst), which count both ways.
+
+    Alternating rounds link each node's larger neighbours, then the smaller ones, to its least one: rounds follow the logarithm
+    of the longest way.
+    """
+    e = cut(edges.select(F.greatest("src", "dst").alias("u"), F.least("src", "dst").alias("v")).where("u <> v").distinct())
+    before = None
     while True:
-        told = state.where("label IS NOT NULL").join(both, F.col("node") == F.col("src")).groupBy("dst").agg(F.min("label").alias("told"))
-        state = cut(state.join(told, F.col("node") == F.col("dst"), "left").select("node", F.least("label", "told").alias("label")))
-        now = state.agg(F.count("label"), F.sum(F.xxhash64("node", "label").cast("decimal(38,0)"))).first()
+        both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
+        least = both.groupBy("u").agg(F.min("v").alias("m")).withColumn("m", F.least("u", "m"))
+        large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+        low = large.groupBy("u").agg(F.min("v").alias("m"))
+        e = cut(large.join(low, "u").select(F.when(F.col("v") == F.col("m"), F.col("u")).otherwise(F.col("v")).alias("u"), F.col("m").alias("v")).where("u <> v").distinct())
+        now = tuple(e.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
         if now == before:
-            return state
+            break
         before = now
+    return e.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(e.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct())
+
+
+def propagate_labels(nodes: DataFrame, edges: DataFrame, conflict: str = "least") -> DataFrame:
+    """node, label: the least label of what is connected to it. nodes: node, label or null; edges (src, dst) count both ways.
+
+    conflict: least, or error, which stops where connected nodes have different labels.
+    """
+    own = nodes.join(components(edges), "node", "left").select("node", "label", F.coalesce("root", "node").alias("root"))
+    told = own.groupBy("root").agg(F.min("label").alias("label"), F.max("label").alias("_other"))
+    if conflict == "error":
+        wrong = F.raise_error(F.concat(F.lit("connected nodes are "), F.col("label").cast("string"), F.lit(" and "), F.col("_other").cast("string")))
+        told = told.withColumn("label", F.when(F.col("label") == F.col("_other"), F.col("label")).when(F.col("label").isNotNull(), wrong.cast(nodes.schema["label"].dataType)))
+    return own.select("node", "root").join(told.select("root", "label"), "root").select("node", "label")
 
 
 def dependency_hash(nodes: DataFrame, edges: DataFrame, levels: int = 64) -> DataFrame:
@@ -53,11 +74,12 @@ def dependency_hash(nodes: DataFrame, edges: DataFrame, levels: int = 64) -> Dat
 
 
 def teleport_edges(doors: DataFrame, areas: DataFrame) -> DataFrame:
-    """kind, sx, sy, dx, dy both ways. doors: ax, ay, bx, by; areas: kind and bounds of origin and destination, joined at their centres, rows with a null bound left out."""
+    """kind, sx, sy, dx, dy both ways. doors: ax, ay, bx, by, where a null stops the query; areas: kind and bounds of origin and destination, joined at their centres, rows with a null bound left out."""
     from tessera.functions.masks import centre
 
     bounds = [f"{a}_{b}_{c}" for a in ("orig", "dest") for b in ("min", "max") for c in ("x", "y")]
     mid = lambda a, c: centre(F.col(f"{a}_min_{c}"), F.col(f"{a}_max_{c}"))
     e = areas.na.drop(subset=bounds).select("kind", mid("orig", "x").alias("sx"), mid("orig", "y").alias("sy"), mid("dest", "x").alias("dx"), mid("dest", "y").alias("dy"))
-    e = e.unionAll(doors.select(F.lit("door"), "ax", "ay", "bx", "by"))
+    there = lambda c: F.coalesce(c, F.raise_error(F.lit(f"a door without {c}")).cast("int")).alias(c)
+    e = e.unionAll(doors.select(F.lit("door"), *map(there, ("ax", "ay", "bx", "by"))))
     return e.unionAll(e.select("kind", F.col("dx"), F.col("dy"), F.col("sx"), F.col("sy")))

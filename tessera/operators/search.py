@@ -26,29 +26,31 @@ def _any(col: Column, kind: DataType, rest: list[str], value) -> Column:
     return F.contains(F.lower(col), F.lit(str(value).lower())) if isinstance(kind, StringType) else F.lit(False)
 
 
-def search(rows: DataFrame, filters: list[tuple[list[str], object]], limit: int | None = 500) -> DataFrame:
-    """Rows that meet all filters; the first 500 of a report."""
+def search(rows: DataFrame, filters: list[tuple[list[str], object]], limit: int | None = 500, order: str | None = None) -> DataFrame:
+    """Rows that meet all filters; the first 500 of a report, by order if it is given."""
     out = rows
     for path, value in filters:
         out = out.where(matches(rows.schema, path, value))
+    if order is not None:
+        out = out.orderBy(order)
     return out if limit is None else out.limit(limit)
 
 
-def id_ranges(text: str) -> list[tuple[tuple[float, ...], tuple[float, ...]]]:
-    """"a.b.c-d.e.f,..." as inclusive ranges of three parts; a missing end is open, one value is a point."""
-    out = []
-    for part in filter(None, (p.strip() for p in text.split(","))):
-        lo, dash, hi = part.partition("-")
-        ends = [[int(v) if v else None for v in e.split(".")] for e in ((lo, hi) if dash else (lo, lo))]
-        out.append((tuple((ends[0] + [None] * 3)[k] if (ends[0] + [None] * 3)[k] is not None else 0 for k in range(3)), tuple((ends[1] + [None] * 3)[k] if (ends[1] + [None] * 3)[k] is not None else float("inf") for k in range(3))))
-    return out
-
-
-def in_ranges(cols: list[Column], text: str) -> Column:
-    out = F.lit(False)
-    for lo, hi in id_ranges(text):
-        c = F.lit(True)
-        for v, a, b in zip(cols, lo, hi, strict=False):
-            c = c & (v >= a) & (F.lit(True) if b == float("inf") else v <= b)
-        out = out | c
-    return out
+def path_types(schema: StructType, path: list[str]) -> list[str]:
+    """What may follow a path, as name:kind (kind: string, number, boolean, object): fields of the structs there, through arrays."""
+    kind: DataType = schema
+    for step in path:
+        while isinstance(kind, ArrayType):
+            kind = kind.elementType
+        if not isinstance(kind, StructType) or step not in kind.names:
+            return []
+        kind = kind[step].dataType
+    while isinstance(kind, ArrayType):
+        kind = kind.elementType
+
+    def named(k: DataType) -> str:
+        while isinstance(k, ArrayType):
+            k = k.elementType
+        return "string" if isinstance(k, StringType) else "number" if isinstance(k, NumericType) else "boolean" if isinstance(k, BooleanType) else "object"
+
+    return [f"{f.name}:{named(f.dataType)}" for f in kind.fields] if isinstance(kind, StructType) else []

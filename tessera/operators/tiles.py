@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window
@@ -66,25 +68,36 @@ def expand(x: np.ndarray, y: np.ndarray, mask: np.ndarray, seen: np.ndarray) ->
 def reachable(tiles: DataFrame, seeds: DataFrame) -> DataFrame:
     """x, y, plane reached from seeds over the set bits of reconciled tiles.
 
-    Each round solves all regions (64 x 64 tiles, so of bounded size) for themselves and then passes on what crosses a
-    border: rounds follow the number of regions on a way, not of tiles.
+    Each round solves the regions (64 x 64 tiles, so of bounded size) in which tiles were newly reached, and passes on what
+    crosses their borders: rounds follow the number of regions on a way, not of tiles, and a round reads and writes only
+    regions that change. Tiles are written once, in folders by band of regions, so a round skips the others.
     """
     t = tiles.select(*KEY, F.coalesce("walk_mask", F.lit(0)).cast("int").alias("m"), region_id(F.col("x"), F.col("y")).alias("r"))
-    state = cut(t.join(seeds.select(*KEY).distinct().withColumn("s", F.lit(True)), KEY, "left").select(*KEY, "m", "r", F.coalesce("s", F.lit(False)).alias("seen")))
+    t = cut(t.withColumn("band", F.shiftright("r", 10)), "band")
+    at = lambda d: d.withColumn("r", region_id(F.col("x"), F.col("y"))).withColumn("band", F.shiftright("r", 10))
+    front = cut(at(seeds.select(*KEY).distinct()).join(t.select(*KEY), KEY, "left_semi"))
+    found: list[DataFrame] = [t.limit(0).select(*KEY, "r")]
 
     def solve(pdf: pd.DataFrame) -> pd.DataFrame:
-        return pdf.assign(seen=expand(*(pdf[c].to_numpy() for c in ("x", "y", "m", "seen")))) if pdf["seen"].any() else pdf
-
-    before = -1
-    while True:
-        state = cut(state.groupBy("r", "plane").applyInPandas(solve, state.schema))
-        now = state.where("seen").count()
-        if now == before:
-            return state.where("seen").select(*KEY)
-        before = now
-        edge = steps(state.where("seen").withColumn("walk_mask", F.col("m"))).where(region_id(F.col("nx"), F.col("ny")) != region_id(F.col("x"), F.col("y")))
-        new = edge.select(F.col("nx").alias("x"), F.col("ny").alias("y"), "plane").distinct().withColumn("s", F.lit(True))
-        state = state.join(new, KEY, "left").select(*KEY, "m", "r", (F.col("seen") | F.coalesce("s", F.lit(False))).alias("seen"))
+        reached = expand(*(pdf[c].to_numpy() for c in ("x", "y", "m", "seen")))
+        return pdf[reached & ~pdf["before"].to_numpy()][[*KEY, "m", "r"]]
+
+    kind = "x int, y int, plane int, m int, r int"
+    while not front.isEmpty():
+        regions = front.select("band", "r", "plane").distinct()
+        active = t.join(regions, ["band", "r", "plane"], "left_semi")
+        seen = reduce(DataFrame.unionAll, found).join(regions.select("r", "plane"), ["r", "plane"], "left_semi").select(*KEY, F.lit(True).alias("before"))
+        marked = active.join(seen, KEY, "left").join(front.select(*KEY, F.lit(True).alias("new")), KEY, "left")
+        marked = marked.select(*KEY, "m", "r", F.coalesce("before", F.lit(False)).alias("before"), (F.coalesce("before", F.lit(False)) | F.coalesce("new", F.lit(False))).alias("seen"))
+        new = cut(marked.groupBy("r", "plane").applyInPandas(solve, kind))
+        found.append(new.select(*KEY, "r"))
+        if len(found) == 16:
+            found = [cut(reduce(DataFrame.unionAll, found))]
+        edge = steps(new.withColumn("walk_mask", F.col("m"))).select(F.col("nx").alias("x"), F.col("ny").alias("y"), "plane", region_id(F.col("x"), F.col("y")).alias("_from"))
+        over = at(edge).where("r <> _from").drop("_from").distinct()
+        known = reduce(DataFrame.unionAll, found).select(*KEY)
+        front = cut(over.join(t.select(*KEY, "band"), [*KEY, "band"], "left_semi").join(known, KEY, "left_anti").select(*KEY, "r", "band"))
+    return reduce(DataFrame.unionAll, found).select(*KEY)
 
 
 def sanitise(tiles: DataFrame, reached: DataFrame) -> DataFrame:

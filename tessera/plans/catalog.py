@@ -4,24 +4,25 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.functions import masks, text
-from tessera.operators import assets, graph, raster, search, tiles
+from tessera.operators import assets, graph, indexes, raster, search, tiles
+from tessera.operators import lookups as library
 from tessera.plans import grid
 from tessera.plans.cut import cut
 from tessera.plans.register import query as _query, registered
 from tessera.sources.tables import table
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    from tessera.plans import lookups  # noqa: F401  registers its queries
+    from tessera.plans import lookups, records  # noqa: F401  register their queries
 
     return {k: f for k, (f, _) in registered.items()}
 
 
 def oracle_sql() -> dict[str, str]:
-    from tessera.plans import lookups  # noqa: F401
+    from tessera.plans import lookups, records  # noqa: F401
 
     return {k: s for k, (_, s) in registered.items() if s}
 
@@ -285,16 +286,17 @@ def enum_lookup_default(spark, d):
 @_query("SELECT a.p_partkey, coalesce(CASE WHEN a.p_size % 3 <> 0 THEN a.p_name END, b.p_name) AS p_name, coalesce(CASE WHEN a.p_size % 2 = 0 THEN a.p_type END, b.p_type) AS p_type FROM part a LEFT JOIN part b ON b.p_partkey = a.p_partkey % 100")
 def morph_overlay(spark, d):
     p = table(spark, d, "part")
-    base = p.select(F.col("p_partkey").alias("k"), F.col("p_name").alias("n"), F.col("p_type").alias("t"))
-    own = p.withColumn("k", F.col("p_partkey") % 100)
-    return own.join(base, "k", "left").select("p_partkey", F.coalesce(F.when(F.col("p_size") % 3 != 0, F.col("p_name")), "n").alias("p_name"), F.coalesce(F.when(F.col("p_size") % 2 == 0, F.col("p_type")), "t").alias("p_type"))
+    base = p.select((-F.col("p_partkey") - 1).alias("key"), F.lit(None).cast("long").alias("to"), "p_name", "p_type")
+    own = p.select(F.col("p_partkey").alias("key"), (-(F.col("p_partkey") % 100) - 1).alias("to"), F.when(F.col("p_size") % 3 != 0, F.col("p_name")).alias("p_name"), F.when(F.col("p_size") % 2 == 0, F.col("p_type")).alias("p_type"))
+    return library.overlaid(own.unionAll(base), "key", "to").where("key >= 0").select(F.col("key").alias("p_partkey"), "p_name", "p_type")
 
 
 @_query("SELECT l_orderkey, l_linenumber FROM lineitem WHERE (l_orderkey = 5 AND l_linenumber >= 2) OR (l_orderkey > 5 AND l_orderkey < 90) OR l_orderkey = 200 EXCEPT ALL SELECT l_orderkey, l_linenumber FROM lineitem WHERE l_orderkey IN (7, 8) AND ((l_orderkey = 5 AND l_linenumber >= 2) OR (l_orderkey > 5 AND l_orderkey < 90) OR l_orderkey = 200)")
 def id_range_filter(spark, d):
     li = table(spark, d, "lineitem")
-    inside = ((F.col("l_orderkey") == 5) & (F.col("l_linenumber") >= 2)) | search.in_ranges([F.col("l_orderkey")], "6-89,200")
-    return li.where(inside).where(~F.col("l_orderkey").isin(7, 8)).select("l_orderkey", "l_linenumber")
+    inside = indexes.in_ranges([F.col("l_orderkey"), F.col("l_linenumber")], "5.2-89,200")
+    black = spark.createDataFrame([(7,), (8,)], "l_orderkey long")
+    return library.without(li.where(inside), black, ["l_orderkey"]).select("l_orderkey", "l_linenumber")
 
 
 @_query("SELECT event_id FROM events WHERE CAST(json_extract(props, '$.k') AS INT) = 42 AND contains(lower(event_type), 'c')")
@@ -305,8 +307,8 @@ def json_path_search(spark, d):
 
 @_query("SELECT l_orderkey, l_linenumber, sum(l_partkey) OVER w AS running, last_value(CASE WHEN l_returnflag = 'R' THEN l_suppkey END IGNORE NULLS) OVER w AS held FROM lineitem WINDOW w AS (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)".replace("sum(l_partkey) OVER w", "CAST(sum(l_partkey) OVER w AS BIGINT)"))
 def delta_decode_hold_last(spark, d):
-    w = Window.partitionBy("l_orderkey").orderBy("l_linenumber", "l_partkey", "l_suppkey").rowsBetween(Window.unboundedPreceding, 0)
-    return table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", F.sum("l_partkey").over(w).alias("running"), F.last(F.when(F.col("l_returnflag") == "R", F.col("l_suppkey")), ignorenulls=True).over(w).alias("held"))
+    held = F.when(F.col("l_returnflag") == "R", F.col("l_suppkey"))
+    return library.delta_decoded(table(spark, d, "lineitem"), ["l_orderkey"], ["l_linenumber", "l_partkey", "l_suppkey"], "l_partkey", held).select("l_orderkey", "l_linenumber", "running", "held")
 
 
 # -- rasters ------------------------------------------------------------------------------------------

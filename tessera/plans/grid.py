@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -10,8 +12,13 @@ from tessera.plans.cut import cut
 from tessera.sources.tables import table
 
 
+#: Lines that fall on a place of the grid on the average, so that it grows with the tables and stays as dense.
+LINES_PER_PLACE = 3.75
+
+
 def side(spark: SparkSession, sf_dir: str) -> int:
-    return 40 if table(spark, sf_dir, "lineitem").count() < 10_000 else 96
+    """Places along a side of the grid."""
+    return int(math.sqrt(table(spark, sf_dir, "lineitem").count() / LINES_PER_PLACE))
 
 
 def tiles(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -59,7 +66,7 @@ def reconciled(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 DIR_SQL = ", ".join(f"({b}, {dx}, {dy}, {o}, {n})" for b, _, dx, dy, o, n in DIRECTIONS)
 TILES_SQL = f"""
-side AS (SELECT CASE WHEN count(*) < 10000 THEN 40 ELSE 96 END AS m FROM lineitem),
+side AS (SELECT CAST(floor(sqrt(count(*) / {LINES_PER_PLACE})) AS INT) AS m FROM lineitem),
 cells AS (SELECT CAST(l_partkey % m AS INT) AS x, CAST(l_orderkey % m AS INT) AS y, CAST(sum(l_orderkey * 31 + l_partkey * 17 + l_linenumber) AS BIGINT) AS h FROM lineitem, side GROUP BY 1, 2),
 tiles AS (SELECT x, y, 0 AS plane, CAST({" + ".join(f"CASE WHEN (h * {2 * i + 3} + {7 * i}) % 13 >= 2 THEN {1 << i} ELSE 0 END" for i in range(8))} AS BIGINT) AS walk_mask, ((x >> 6) << 8) + (y >> 6) AS RegionID FROM cells WHERE h % 10 >= 1),
 d(bit, dx, dy, opp, needs) AS (VALUES {DIR_SQL}),

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from tessera.functions import colour, hashes, text
 from tessera.operators import assets, decode, ordered, raster, spatial, trees
+from tessera.operators import lookups as library
 from tessera.functions.masks import DIRECTIONS
 from tessera.plans import grid
 from tessera.plans.register import query
@@ -79,35 +80,37 @@ def mip_hash_rollup(spark, d):
 
 @query("SELECT c_custkey, coalesce(a.v, 0) AS v, CASE WHEN a.k IS NULL THEN 'missing' ELSE 'found' END AS state FROM (SELECT c_custkey, c_nationkey, CAST(c_custkey % 9 AS INT) AS h FROM customer) c LEFT JOIN (SELECT s_nationkey AS k, CAST(s_suppkey % 9 AS INT) AS h, min(s_suppkey) AS v FROM supplier GROUP BY 1, 2) a ON a.k = c_nationkey AND a.h = c.h")
 def file_meta_lookup(spark, d):
-    have = table(spark, d, "supplier").groupBy(F.col("s_nationkey").alias("k"), (F.col("s_suppkey") % 9).cast("int").alias("h")).agg(F.min("s_suppkey").alias("v"))
+    have = table(spark, d, "supplier").select(F.col("s_nationkey").alias("k"), (F.col("s_suppkey") % 9).cast("int").alias("h"), F.col("s_suppkey").alias("v"))
     want = table(spark, d, "customer").select("c_custkey", F.col("c_nationkey").alias("k"), (F.col("c_custkey") % 9).cast("int").alias("h"))
-    return want.join(have.withColumn("hit", F.lit(True)), ["k", "h"], "left").select("c_custkey", F.coalesce("v", F.lit(0)).alias("v"), F.when(F.col("hit"), "found").otherwise("missing").alias("state"))
+    return library.known_files(want, have, ["k", "h"], "v", 0).select("c_custkey", "v", "state")
 
 
 @query("SELECT o_orderkey, coalesce(CASE WHEN o_orderkey % 3 = 0 THEN o_custkey END, CASE WHEN p_partkey % 4 <> 0 THEN CAST(p_size AS BIGINT) END, -1) AS value FROM orders JOIN part ON p_partkey = o_custkey % 100 + 1")
 def struct_param_default(spark, d):
-    own = table(spark, d, "orders").selectExpr("o_orderkey", "o_custkey % 100 + 1 p", "CASE WHEN o_orderkey % 3 = 0 THEN o_custkey END own")
-    default = table(spark, d, "part").selectExpr("p_partkey p", "CASE WHEN p_partkey % 4 <> 0 THEN CAST(p_size AS BIGINT) END other")
-    return own.join(default, "p").select("o_orderkey", F.coalesce("own", "other", F.lit(-1)).alias("value"))
+    rows = table(spark, d, "orders").selectExpr("o_orderkey", "o_orderkey struct", "o_custkey % 100 + 1 param", "o_custkey")
+    params = table(spark, d, "part").selectExpr("p_partkey param", "CASE WHEN p_partkey % 4 <> 0 THEN CAST(p_size AS BIGINT) END default")
+    own = rows.where("struct % 3 = 0").selectExpr("struct", "param", "o_custkey value")
+    return library.struct_param(rows, own, params, -1).select("o_orderkey", "value")
 
 
 @query("SELECT c_custkey, coalesce(n_name, '') AS n_name, coalesce(r_name, '') AS r_name FROM (SELECT c_custkey, c_custkey % 30 AS k FROM customer) LEFT JOIN nation ON n_nationkey = k LEFT JOIN region ON r_regionkey = n_regionkey AND r_regionkey <> 2")
 def panel_chain(spark, d):
-    c, n, r = table(spark, d, "customer").selectExpr("c_custkey", "c_custkey % 30 n_nationkey"), table(spark, d, "nation"), table(spark, d, "region").where("r_regionkey <> 2").withColumnRenamed("r_regionkey", "n_regionkey")
-    return c.join(n, "n_nationkey", "left").join(r, "n_regionkey", "left").select("c_custkey", F.coalesce("n_name", F.lit("")).alias("n_name"), F.coalesce("r_name", F.lit("")).alias("r_name"))
+    c, r = table(spark, d, "customer").selectExpr("c_custkey", "c_custkey % 30 n_nationkey"), table(spark, d, "region").where("r_regionkey <> 2").withColumnRenamed("r_regionkey", "n_regionkey")
+    out = library.chain(c, (table(spark, d, "nation"), "n_nationkey", {"n_name": "", "n_regionkey": None}), (r, "n_regionkey", {"r_name": ""}))
+    return out.select("c_custkey", "n_name", "r_name")
 
 
 @query("SELECT s_suppkey, min(p_partkey) AS p_partkey FROM supplier JOIN part ON list_reduce(list_prepend(0::HUGEINT, list_transform(string_split(p_brand, ''), lambda c: ascii(c)::HUGEINT)), lambda a, c: (a * 31 + c) % 4294967296) = list_reduce(list_prepend(0::HUGEINT, list_transform(string_split('Brand#' || CAST(s_suppkey % 60 AS VARCHAR), ''), lambda c: ascii(c)::HUGEINT)), lambda a, c: (a * 31 + c) % 4294967296) GROUP BY 1")
 def name_hash_lookup(spark, d):
-    by_hash = table(spark, d, "part").groupBy(text.name_hash(F.col("p_brand")).alias("hash")).agg(F.min("p_partkey").alias("p_partkey"))
-    want = table(spark, d, "supplier").select("s_suppkey", text.name_hash(F.concat(F.lit("Brand#"), (F.col("s_suppkey") % 60).cast("string"))).alias("hash"))
-    return want.join(by_hash, "hash").select("s_suppkey", "p_partkey")
+    index = table(spark, d, "part").select(text.name_hash(F.col("p_brand")).alias("hash"), "p_partkey")
+    names = table(spark, d, "supplier").select("s_suppkey", F.concat(F.lit("Brand#"), (F.col("s_suppkey") % 60).cast("string")).alias("name"))
+    return library.by_hash(names, index, text.name_hash(F.col("name")), "p_partkey").select("s_suppkey", "p_partkey")
 
 
 @query("SELECT o_orderkey, o_custkey FROM orders WHERE NOT EXISTS (SELECT 1 FROM customer WHERE c_custkey = o_custkey AND c_acctbal < 0)")
 def blacklist_anti(spark, d):
     black = table(spark, d, "customer").where("c_acctbal < 0").select(F.col("c_custkey").alias("o_custkey"))
-    return table(spark, d, "orders").join(black, "o_custkey", "left_anti").select("o_orderkey", "o_custkey")
+    return library.without(table(spark, d, "orders"), black, ["o_custkey"]).select("o_orderkey", "o_custkey")
 
 
 @query("SELECT coalesce(a.k, b.k) AS k, CASE WHEN b.k IS NULL THEN 'delete' WHEN a.k IS NULL THEN 'add' ELSE 'edit' END AS change FROM (SELECT o_custkey AS k, count(*) AS v FROM orders WHERE o_orderkey % 2 = 0 GROUP BY 1) a FULL JOIN (SELECT o_custkey AS k, count(*) AS v FROM orders WHERE o_orderkey % 3 <> 0 GROUP BY 1) b ON a.k = b.k WHERE a.v IS DISTINCT FROM b.v")
@@ -118,12 +121,13 @@ def root_index_diff(spark, d):
 
 @query("SELECT user_id, array_to_string(list_sort(list(DISTINCT event_type)), ',') AS kinds, count(*) AS uses, max(event_id) AS newest FROM events GROUP BY 1")
 def placements_by_id(spark, d):
-    return table(spark, d, "events").groupBy("user_id").agg(F.array_join(F.array_sort(F.collect_set("event_type")), ",").alias("kinds"), F.count("*").alias("uses"), F.max("event_id").alias("newest"))
+    return library.grouped(table(spark, d, "events"), "user_id", "event_type", "event_id")
 
 
 @query("SELECT event_id, CASE WHEN event_type = 'click' THEN 'purged' ELSE event_type END AS state FROM events WHERE ts BETWEEN TIMESTAMP '1900-01-01' AND TIMESTAMP '2100-01-01' AND user_id BETWEEN 3 AND 40")
 def purge_marking(spark, d):
-    return table(spark, d, "events").where("ts BETWEEN timestamp'1900-01-01' AND timestamp'2100-01-01' AND user_id BETWEEN 3 AND 40").select("event_id", F.when(F.col("event_type") == "click", "purged").otherwise(F.col("event_type")).alias("state"))
+    inside = F.expr("ts BETWEEN timestamp'1900-01-01' AND timestamp'2100-01-01' AND user_id BETWEEN 3 AND 40")
+    return library.purged(table(spark, d, "events").withColumnRenamed("event_type", "state"), "state", F.col("state") == "click", inside).select("event_id", "state")
 
 
 # -- orders -------------------------------------------------------------------------------------------
