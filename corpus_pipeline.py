@@ -2,6 +2,11 @@
 
 quality rules -> one document of each near-duplicate group -> repeated passages cut out -> documents with benchmark
 items out -> words of each source taken to its target. All stages but the last return the columns of documents.
+
+Defined results: a document of null or empty text, or of fewer than 20 words, goes in the first stage; a null language or source is
+one of its own; of equal or similar texts the one of the least doc_id stays, of rows with one id the first by text, and ids that are
+null come last; an empty table of documents gives no rows, an empty one of labels no rejections beyond the base rule, an empty
+benchmark removes nothing; columns beyond those of documents are kept as they are.
 """
 
 from __future__ import annotations
